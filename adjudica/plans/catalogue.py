@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import drift_queries  # noqa: F401
+from . import contract_queries, drift_queries, feature_queries, sampling_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
