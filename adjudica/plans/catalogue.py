@@ -1,6 +1,14 @@
 """All registered queries."""
 
-from . import contract_queries, drift_queries, feature_queries, sampling_queries  # noqa: F401
+from . import (  # noqa: F401
+    contract_queries,
+    drift_queries,
+    feature_queries,
+    metric_queries,
+    monitor_queries,
+    profile_queries,
+    sampling_queries,
+)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
