@@ -8,6 +8,8 @@ from . import (  # noqa: F401
     monitor_queries,
     profile_queries,
     sampling_queries,
+    source_queries,
+    stream_queries,
 )
 from .registry import ORACLES, QUERIES
 

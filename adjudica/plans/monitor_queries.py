@@ -181,7 +181,7 @@ def mean_batch_size(spark, sf):
 @query(
     "last_gauge",
     """
-    SELECT user_id, arg_max(value, (ts, event_id)) AS value, epoch(max(ts))::BIGINT AS seconds FROM events GROUP BY 1
+    SELECT user_id, arg_max(value, (ts, event_id)) AS value, floor(epoch(max(ts)))::BIGINT AS seconds FROM events GROUP BY 1
     """,
 )
 def last_gauge(spark, sf):

@@ -1,4 +1,4 @@
-"""JSON reports: report-sized frames with keys in sorted order."""
+"""JSON reports with keys in sorted order."""
 
 from __future__ import annotations
 
@@ -35,12 +35,16 @@ def report_json(df: DataFrame, pretty: bool = True) -> DataFrame:
     return ordered.select(F.to_json(F.struct(*ordered.columns), options).alias("value"))
 
 
-def write_report(df: DataFrame, path: str, pretty: bool = True) -> None:
-    """Write a report frame as indented JSON documents (replaces the folder)."""
-    report_json(df, pretty).coalesce(1).write.mode("overwrite").text(path)
-
-
-def read_report(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    return spark.read.schema(schema).json(path, multiLine=True)
+def write_report(df: DataFrame, path: str, lines: bool = False) -> None:
+    """Replace the folder by the report. A one-row frame is an indented document;
+    ``lines`` writes a table as one compact document per line, in parallel."""
+    if lines:
+        report_json(df, pretty=False).write.mode("overwrite").text(path)
+    else:
+        report_json(df).limit(1).coalesce(1).write.mode("overwrite").text(path)
 
 
+def read_report(
+    spark: SparkSession, path: str, schema: StructType | str, lines: bool = False
+) -> DataFrame:
+    return spark.read.schema(schema).json(path, multiLine=not lines)
