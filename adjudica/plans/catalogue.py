@@ -5,6 +5,7 @@ from . import (  # noqa: F401
     drift_queries,
     feature_queries,
     metric_queries,
+    model_queries,
     monitor_queries,
     profile_queries,
     sampling_queries,
