@@ -122,7 +122,8 @@ def stream_alert_approval(spark, sf):
     "stream_no_traffic",
     f"""
     WITH src AS (SELECT user_id % 7 AS lane, {slot_sql(3600)} AS slot FROM events WHERE value > 120),
-    seen AS (SELECT DISTINCT lane, slot FROM src WHERE slot + 3600 <= {_CLOSED}),
+    seen AS (SELECT DISTINCT lane, slot FROM src
+      WHERE slot + 3600 <= (SELECT epoch(max(ts)) - 3600 FROM events WHERE value > 120)),
     nxt AS (SELECT lane, slot, lead(slot) OVER (PARTITION BY lane ORDER BY slot) AS nx FROM seen)
     SELECT lane::VARCHAR AS series, slot + 3600 AS active_since, slot + 3600 + 14400 AS fired_at
     FROM nxt WHERE nx - 3600 >= slot + 3600 + 14400
