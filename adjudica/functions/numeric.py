@@ -6,10 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, NumericType
 
-# Java's double parser accepts "1d" and "2.5f"; those are not numbers here.
-_SUFFIXED = r"[dDfF]\s*$"
-
-
 def finite_or_null(c: Column) -> Column:
     """NaN becomes NULL, so that one missing marker exists downstream."""
     return F.nanvl(c, F.lit(None).cast("double"))
@@ -24,9 +20,10 @@ def to_number(c: Column, dtype: DataType | None = None) -> Column:
     if isinstance(dtype, (NumericType, BooleanType)):
         return finite_or_null(c.cast("double"))
     text = c.cast("string")
-    named = F.lower(F.trim(text)).isin("infinity", "+infinity", "-infinity", "inf", "+inf", "-inf")
-    parsed = F.when(~text.rlike(_SUFFIXED) | named, text.try_cast("double"))
-    return finite_or_null(parsed)
+    # Java's double parser accepts "1d" and "2.5f"; those are not numbers here
+    suffixed = F.lower(F.right(F.rtrim(text), F.lit(1))).isin("d", "f")
+    infinite = F.lower(F.trim(text)).isin("inf", "+inf", "-inf")
+    return finite_or_null(F.when(~suffixed | infinite, text.try_cast("double")))
 
 
 def clip(c: Column, lower: float | None = None, upper: float | None = None) -> Column:

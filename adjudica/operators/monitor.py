@@ -118,33 +118,38 @@ def quantiles_of(wide: DataFrame, bounds: Sequence[float], probs: Mapping[str, f
 # --- trailing windows on an evaluation grid ----------------------------------
 
 
-def spine(part: DataFrame, step: int, keys: Sequence[str] = ()) -> DataFrame:
-    """Every step between the first and last slot, per series; its size is the time
-    span over the step. All series share the table's overall span."""
-    span = part.agg(F.min("slot").alias("lo"), F.max("slot").alias("hi"))
-    slots = span.where(F.col("lo").isNotNull()).select(
-        F.explode(F.sequence("lo", "hi", F.lit(step).cast("long"))).alias("slot")
+def on_grid(
+    part: DataFrame, step: int, keys: Sequence[str], values: Sequence[str], idle: float | None = 0
+) -> DataFrame:
+    """Partials on every step between the table's first and last slot, per series; idle
+    steps carry ``idle``. The size is series x (time span / step).
+
+    Each row is expanded over the idle steps up to its successor, so the grid needs
+    neither a generated time table nor a join with it.
+    """
+    order = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("slot")
+    rows = part.withColumns(
+        {"__next": F.lead("slot").over(order), "__first": F.lag("slot").over(order).isNull()}
     )
-    if not keys:
-        return slots
-    # (series) x (slots) is the evaluation grid itself, expanded row by row
-    bounds = span.select(F.struct("lo", "hi")).scalar()
-    series = part.select(*keys).distinct().withColumn("__span", bounds)
-    return series.select(
+    if keys:
+        # reading every value keeps this branch equal to the main one: the shuffled
+        # partials are reused instead of being counted twice
+        span = F.struct(F.min("slot").alias("lo"), F.max("slot").alias("hi"), *[F.max(v).alias(v) for v in values])
+        rows = rows.withColumn("__span", part.agg(span.alias("s")).scalar())
+        lo, hi = F.col("__span.lo"), F.col("__span.hi")
+    else:
+        lo = hi = F.col("slot")
+    start = F.when(F.col("__first"), lo).otherwise(F.col("slot"))
+    stop = F.coalesce(F.col("__next") - step, hi)
+    expanded = rows.withColumn("__at", F.explode(F.sequence(start, stop, F.lit(step).cast("long"))))
+    here = F.col("__at") == F.col("slot")
+    return expanded.select(
         *keys,
-        F.explode(
-            F.sequence(F.col("__span.lo"), F.col("__span.hi"), F.lit(step).cast("long"))
-        ).alias("slot"),
+        F.col("__at").alias("slot"),
+        *[F.when(here, F.col(v)).otherwise(F.lit(idle)).alias(v) for v in values],
     )
 
 
-def on_grid(part: DataFrame, step: int, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Partials on the complete grid, idle steps as 0."""
-    grid = spine(part, step, keys)
-    joined = grid.join(part, [*keys, "slot"], "left")
-    return joined.select(*keys, "slot", *[F.coalesce(v, F.lit(0)).alias(v) for v in values])
-
-
 def trailing_sums(
     part: DataFrame,
     step: int,
@@ -312,7 +317,7 @@ def gauge_alert(df, ts, value, instance, duration, step=MINUTE, equals: float =
     """The gauge of an instance reads ``equals`` for the duration: last reading per
     step, carried forward over steps without a reading."""
     part = partials(df, ts, step, {"value": F.max_by(value, ts)}, [instance])
-    grid = spine(part, step, [instance]).join(part, [instance, "slot"], "left")
+    grid = on_grid(part, step, [instance], ["value"], idle=None)
     carry = Window.partitionBy(instance).orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
     filled = grid.withColumn("value", F.last("value", ignorenulls=True).over(carry))
     return holds_for(filled, F.col("value") == equals, duration, [instance])

@@ -118,11 +118,8 @@ def rate_by_group(df: DataFrame, key: str, label: str, digits: int | None = 3) -
 
 
 def rate_by_category(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """(feature, value, rate, rows, base_rate, lift) for all features in one scan.
-
-    The base rate is recovered from the first grouping that covers every row, so
-    the table is read once.
-    """
+    """(feature, value, rate, rows, base_rate) for all features in one grouping; the
+    base rate is a scan of the label column alone."""
     features = list(features)
     y = F.col(label).cast("double").alias("__y")
     long = df.select(*[F.col(c).cast("string").alias(c) for c in features], y).unpivot(
@@ -131,9 +128,7 @@ def rate_by_category(df: DataFrame, features: Sequence[str], label: str) -> Data
     grouped = long.groupBy("feature", "value").agg(
         F.sum("__y").alias("hits"), F.count("__y").alias("rows")
     )
-    whole = grouped.where(F.col("feature") == features[0]).agg(
-        (F.sum("hits") / F.sum("rows")).alias("r")
-    )
+    whole = df.agg(F.avg(F.col(label).cast("double")).alias("r"))
     return (
         grouped.where(F.col("value").isNotNull())
         .select(
@@ -189,16 +184,19 @@ def class_histogram(
     index = F.least(F.lit(bins - 1), F.floor((F.col("v") - F.col("lo")) / width)).cast("int")
     counted = (
         long.join(F.broadcast(span), ["feature", "label"])  # features x classes rows
-        .groupBy("feature", "label", index.alias("bin"))
+        .groupBy("feature", "label", "lo", "hi", "n", index.alias("bin"))
         .agg(F.count("*").alias("rows"))
+        .groupBy("feature", "label", "lo", "hi", "n")
+        .agg(F.map_from_entries(F.collect_list(F.struct("bin", "rows"))).alias("filled"))  # <= bins
     )
-    grid = span.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return grid.join(F.broadcast(counted), ["feature", "label", "bin"], "left").select(
+    grid = counted.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    rows = F.coalesce(F.try_element_at("filled", F.col("bin")), F.lit(0))
+    return grid.select(
         "feature",
         "label",
         "bin",
         (F.col("lo") + F.col("bin") * width).alias("low"),
         (F.col("lo") + (F.col("bin") + 1) * width).alias("high"),
-        F.coalesce("rows", F.lit(0)).alias("rows"),
-        (F.coalesce("rows", F.lit(0)) / (F.col("n") * width)).alias("density"),
+        rows.alias("rows"),
+        (rows / (F.col("n") * width)).alias("density"),
     )

@@ -10,6 +10,8 @@ from ..operators import features, labels, rewrite
 from ..operators.drift import classify
 from ..operators.models import logit_score
 from ..operators.preprocess import build_preprocessor, feature_names, most_frequent
+from ..session import work_dir
+from ..sources.tables import write_parquet
 from .registry import query, table
 
 ROLES = features.Roles("income", "coincome", "amount", "term")
@@ -75,8 +77,12 @@ def features_affordability(spark, sf):
 
 @query("features_fill_batch", _feature_sql("(SELECT median(amount) FROM src)"))
 def features_fill_batch(spark, sf):
-    """The amount fill is the median of the frame itself."""
-    return _rounded(features.add_engineered_features(loan_roles(spark, sf), ROLES, fill="batch"))
+    """The amount fill is the median of the frame itself. The frame is written once:
+    the median then reads one column instead of repeating the joins."""
+    path = work_dir(spark, "loan-roles")
+    write_parquet(loan_roles(spark, sf), path)
+    frame = spark.read.parquet(path)
+    return _rounded(features.add_engineered_features(frame, ROLES, fill="batch"))
 
 
 @query(

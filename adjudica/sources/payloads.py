@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 from ..functions.numeric import to_number
 from ..operators.admission import FieldRule, RecordContract, field_violations
@@ -17,30 +18,45 @@ def to_payloads(df: DataFrame, columns: Sequence[str], output: str = "payload")
     return df.withColumn(output, body)
 
 
-def _typed(rule: FieldRule, document: Column, keys: Column) -> tuple[Column, list[Column]]:
-    """(value, violations) of one field of a JSON object."""
-    path = f"$.{rule.name}"
-    raw = F.try_variant_get(document, path, "variant")
-    present = F.coalesce(F.array_contains(keys, rule.name), F.lit(False))
-    is_null = F.coalesce(F.is_variant_null(raw), F.lit(True))
-    kind = F.schema_of_variant(raw)
-    text = F.try_variant_get(document, path, "string")
+def _extracted(rule: FieldRule, document: Column, keys: Column) -> dict[str, Column]:
+    """Helper columns of one field: is it present, its JSON kind, its text."""
+    raw = F.try_variant_get(document, f"$.{rule.name}", "variant")
+    return {
+        f"__has_{rule.name}": F.array_contains(keys, rule.name),
+        f"__kind_{rule.name}": F.schema_of_variant(raw),  # VOID for null, NULL when absent
+        f"__text_{rule.name}": F.try_variant_get(document, f"$.{rule.name}", "string"),
+    }
+
+
+def _value(rule: FieldRule) -> Column:
+    kind, text = F.col(f"__kind_{rule.name}"), F.col(f"__text_{rule.name}")
     if rule.kind == "enum":
-        # a JSON number never equals a text choice, not even 1 for "1"
-        value = F.when(present & ~is_null, text)
-        mistyped = present & ~is_null & (kind != "STRING")
-        wrong = F.when(mistyped, F.lit(f"{rule.name}: must be one of {', '.join(rule.allowed)}"))
+        value = F.when(kind != "VOID", text)
     else:
-        boolean = F.when(kind == "BOOLEAN", F.try_variant_get(document, path, "boolean").cast("double"))
-        value = F.when(present & ~is_null, F.coalesce(boolean, to_number(text)))
-        wrong = F.when(present & ~is_null & value.isNull(), F.lit(f"{rule.name}: not a number"))
-        mistyped = wrong.isNotNull()
+        truth = F.when(text == "true", F.lit(1.0)).otherwise(F.lit(0.0))
+        value = F.when(kind == "BOOLEAN", truth).when(kind != "VOID", to_number(text))
     if rule.default is not None:
-        value = F.when(~present, F.lit(rule.default)).otherwise(value)
-    missing = F.when(~present & F.lit(rule.required), F.lit(f"{rule.name}: field required"))
+        value = F.when(~F.col(f"__has_{rule.name}"), F.lit(rule.default)).otherwise(value)
+    return F.when(F.col("__ok"), value)
+
+
+def _violations(rule: FieldRule) -> list[Column]:
+    has, kind = F.col(f"__has_{rule.name}"), F.col(f"__kind_{rule.name}")
+    value, out = F.col(rule.name), []
+    if rule.required:
+        out.append(F.when(~has, F.lit(f"{rule.name}: field required")))
+    if rule.kind == "enum":
+        # a JSON number never equals a text choice, not even 1 for "1"
+        wrong = (kind != "VOID") & (kind != "STRING")
+        message = f"{rule.name}: must be one of {', '.join(rule.allowed)}"
+    else:
+        wrong = (kind != "VOID") & value.isNull()
+        message = f"{rule.name}: not a number"
+    wrong = F.coalesce(wrong, F.lit(False))
+    out.append(F.when(has & wrong, F.lit(message)))
     # an absent optional field has nothing to check; an explicit null does
-    checked = [F.when(present & ~mistyped, v) for v in field_violations(rule, value, None)]
-    return value, [missing, wrong, *checked]
+    dtype = StringType() if rule.kind == "enum" else DoubleType()
+    return [*out, *[F.when(has & ~wrong, v) for v in field_violations(rule, value, dtype)]]
 
 
 def from_payloads(
@@ -52,15 +68,19 @@ def from_payloads(
     null does not. Unknown keys are ignored; a body that is no JSON object is one
     violation.
     """
-    # a malformed body yields NULL here, not an error
-    keys = F.json_object_keys(F.col(payload))
-    document = F.try_parse_json(F.col(payload))
-    values, found = [], [F.when(~F.col("__ok"), F.lit("body: not a JSON object"))]
-    for rule in contract.rules:
-        value, wrong = _typed(rule, F.col("__doc"), F.col("__keys"))
-        values.append(F.when(F.col("__ok"), value).alias(rule.name))
-        found += [F.when(F.col("__ok"), w) for w in wrong]
-    parsed = df.withColumns({"__doc": document, "__keys": keys}).withColumn(
-        "__ok", F.col("__keys").isNotNull() & F.col("__doc").isNotNull()
+    rules = contract.rules
+    # each step reads the columns of the one before, so a body is parsed once
+    parsed = df.select(
+        *keep, F.try_parse_json(payload).alias("__doc"), F.json_object_keys(payload).alias("__keys")
+    )
+    helpers: dict[str, Column] = {"__ok": F.col("__keys").isNotNull() & F.col("__doc").isNotNull()}
+    for rule in rules:
+        helpers |= _extracted(rule, F.col("__doc"), F.col("__keys"))
+    typed = parsed.select(*keep, *[c.alias(n) for n, c in helpers.items()])
+    valued = typed.withColumns({rule.name: _value(rule) for rule in rules})
+    found = [F.when(~F.col("__ok"), F.lit("body: not a JSON object"))]
+    for rule in rules:
+        found += [F.when(F.col("__ok"), v) for v in _violations(rule)]
+    return valued.select(
+        *keep, *contract.names(), F.array_compact(F.array(*found)).alias("violations")
     )
-    return parsed.select(*keep, *values, F.array_compact(F.array(*found)).alias("violations"))
