@@ -54,10 +54,11 @@ def sketch_splits(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[s
 def with_range_bucket(df: DataFrame, source: str, splits: Sequence[float], output: str) -> DataFrame:
     """Add the left-closed bucket number of a double column (binary search, JVM side)."""
     if not splits:
-        return df.withColumn(output, F.when(F.col(source).isNotNull(), F.lit(0.0)))
-    return Bucketizer(
+        return df.withColumn(output, F.when(F.col(source).isNotNull(), F.lit(0)))
+    found = Bucketizer(
         splits=[-math.inf, *splits, math.inf], inputCol=source, outputCol=output, handleInvalid="keep"
     ).transform(df)
+    return found.withColumn(output, F.col(output).cast("int"))
 
 
 @dataclass
