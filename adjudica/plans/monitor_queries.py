@@ -318,3 +318,70 @@ def alert_gauge_down(spark, sf):
     )
     firing = m.gauge_alert(readings, "ts", "up", "inst", 2 * m.HOUR, m.HOUR)
     return m.alert_intervals(firing, ["inst"])
+
+
+def _le_sql(value: str, bounds, width: int, source: str) -> str:
+    les = ", ".join(f"count(*) FILTER ({value} <= {float(b)}) AS le_{i}" for i, b in enumerate(bounds))
+    rows = " UNION ALL ".join(
+        f"SELECT slot, '{float(b):g}' AS le, le_{i} AS cumulative FROM wide" for i, b in enumerate(bounds)
+    )
+    return f"""
+    WITH wide AS (SELECT {slot_sql(width)} AS slot, {les}, count({value}) AS n FROM {source} GROUP BY 1)
+    {rows} UNION ALL SELECT slot, '+Inf', n FROM wide"""
+
+
+@query(
+    "probability_heatmap",
+    _le_sql("p", m.PROBABILITY_BOUNDS, 300, "(SELECT ts, least(value / 300, 1.0::DOUBLE) AS p FROM events)"),
+)
+def probability_heatmap(spark, sf):
+    """Increase of every probability bucket per five minutes."""
+    scored = events(spark, sf).select("ts", F.least(F.col("value") / 300, F.lit(1.0)).alias("p"))
+    wide = m.histogram_wide(scored, "p", m.PROBABILITY_BOUNDS, "ts", 300)
+    return m.histogram_long(wide, m.PROBABILITY_BOUNDS)
+
+
+@query(
+    "batch_size_histogram",
+    _le_sql(
+        "size",
+        m.BATCH_BOUNDS,
+        86400,
+        "(SELECT date_trunc('hour', ts) AS ts, event_type, count(*) AS size FROM events GROUP BY 1, 2)",
+    ),
+)
+def batch_size_histogram(spark, sf):
+    """Records per request, a request being one event type within an hour."""
+    batches = (
+        events(spark, sf)
+        .groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"), "event_type")
+        .agg(F.count("*").alias("size"))
+    )
+    wide = m.histogram_wide(batches, "size", m.BATCH_BOUNDS, "ts", m.DAY)
+    return m.histogram_long(wide, m.BATCH_BOUNDS)
+
+
+@query(
+    "latency_histogram",
+    _le_sql("s", m.LATENCY_BOUNDS, 3600, "(SELECT ts, value / 100 AS s FROM events)"),
+)
+def latency_histogram(spark, sf):
+    wide = m.histogram_wide(
+        events(spark, sf).select("ts", (F.col("value") / 100).alias("s")), "s", m.LATENCY_BOUNDS, "ts", m.HOUR
+    )
+    return m.histogram_long(wide, m.LATENCY_BOUNDS)
+
+
+@query(
+    "rate_by_status",
+    f"""
+    SELECT {slot_sql(300)} AS slot, event_type AS handler, CASE WHEN value > 150 THEN 500 ELSE 200 END AS status,
+      count(*) AS n, round(count(*) / 300.0, 9) AS rate FROM events GROUP BY 1, 2, 3
+    """,
+)
+def rate_by_status(spark, sf):
+    """Request rate by handler and status."""
+    status = F.when(F.col("value") > 150, 500).otherwise(200).alias("status")
+    served = events(spark, sf).select("ts", F.col("event_type").alias("handler"), status)
+    rates = m.counts_and_rates(served, "ts", 300, ["handler", "status"])
+    return rates.withColumn("rate", F.round("rate", 9))
