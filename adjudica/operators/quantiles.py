@@ -1,25 +1,26 @@
 """Exact quantiles that never hold a column in one task.
 
 The built-in ``percentile`` keeps a value -> count map of the whole column in a
-single task. Here the wanted order statistics are located by narrowing value
+single task. Here the wanted order statistics are located by narrowing closed value
 ranges ("segments") until each holds few rows:
 
-* a sketch proposes split points; they only balance work, never the result;
-* exact counts per split bucket say which bucket holds each wanted rank. Every
-  split value is a bucket of its own, so a value that fills a third of the
-  table is found in one pass instead of being ranked;
-* rows of the remaining small segments are collapsed to (value, count) and
-  ranked, one bounded segment per window partition.
-
-Each narrowing pass divides the rows in play by about ``SPLITS``; a table of
-10^12 rows needs two.
+* a segment is cut into buckets, and one map-side-combined count per bucket (with its
+  smallest and largest value) says which bucket holds each wanted rank;
+* a bucket whose smallest and largest value agree is the answer, however many rows it
+  has: a value that fills a third of the table is never ranked;
+* small segments are collapsed to (value, count) and ranked, one bounded segment per
+  window partition.
+
+Buckets are of equal width as long as that works. Where most rows stay in one bucket
+(heavy tails, infinities) a sketch proposes the next cuts; it balances work and never
+decides a result. Each pass divides the rows in play by up to ``BUCKETS``: a table of
+10^12 evenly spread rows needs two.
 """
 
 from __future__ import annotations
 
-import bisect
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
@@ -28,8 +29,10 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import to_number
 
-SPLITS = 1024
-SEGMENT_ROWS = 1_000_000
+BUCKETS = 4096
+SPLITS = 1024  # cuts asked of a sketch
+SEGMENT_ROWS = 1_000_000  # rows one ranking task may hold
+RANK_AT_ONCE = 20_000  # rows not worth another pass
 
 
 def numeric_view(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -63,96 +66,93 @@ def with_range_bucket(df: DataFrame, source: str, splits: Sequence[float], outpu
 
 @dataclass
 class _Segment:
-    """Rows of ``column`` with low <= value < high, and the ranks wanted in it."""
+    """Rows of ``column`` with low <= value <= high, and the ranks wanted among them.
+    ``low`` and ``high`` are values that occur."""
 
     column: str
     low: float
     high: float
     rows: int
     ranks: dict[int, int]  # rank in the column -> rank inside the segment
+    by_sketch: bool = False
 
     def value(self) -> Column:
         c = F.col(self.column)
-        inside = c.isNotNull()
-        if self.low != -math.inf:
-            inside = inside & (c >= self.low)
-        if self.high != math.inf:
-            inside = inside & (c < self.high)
-        return F.when(inside, c)
+        return F.when((c >= self.low) & (c <= self.high), c)
+
+    def even_width(self) -> float | None:
+        """Width of an equal-width bucket, where arithmetic on the range is safe."""
+        width = (self.high - self.low) / BUCKETS
+        return width if 1e-290 < width < math.inf and not self.by_sketch else None
+
+
+def _bucket_view(values: DataFrame, segments: list[_Segment]) -> DataFrame:
+    """(segment, bucket, value): bucket numbers ascend with the value."""
+    view = values.select(*[s.value().alias(f"v{i}") for i, s in enumerate(segments)])
+    sketched = [i for i, s in enumerate(segments) if s.even_width() is None]
+    splits = sketch_splits(view, [f"v{i}" for i in sketched], SPLITS)
+    for i in sketched:
+        # v and the next double after it: a frequent value becomes a bucket of its own
+        inner = {e for v in splits[f"v{i}"] for e in (v, math.nextafter(v, math.inf))}
+        view = with_range_bucket(view, f"v{i}", sorted(inner), f"b{i}")
+    entries = []
+    for i, s in enumerate(segments):
+        v, width = F.col(f"v{i}"), s.even_width()
+        bucket = (
+            F.col(f"b{i}")
+            if width is None
+            else F.least(F.floor((v - s.low) / width), F.lit(BUCKETS - 1)).cast("int")
+        )
+        entries.append(F.struct(F.lit(i).alias("segment"), bucket.alias("bucket"), v.alias("value")))
+    return view.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull())
 
 
 def _narrow(values: DataFrame, segments: list[_Segment], found: dict) -> list[_Segment]:
-    """One sketch scan and one counting scan: replace each segment by its hit buckets."""
-    names = [f"s{i}" for i in range(len(segments))]
-    view = values.select(*[s.value().alias(n) for s, n in zip(segments, names)])
-    splits = sketch_splits(view, names, SPLITS)
-    edges = {}
-    tagged = view
-    for n in names:
-        # v and the next double after it: [v, next) is the bucket of v alone
-        inner = sorted({e for v in splits[n] for e in (v, math.nextafter(v, math.inf))})
-        edges[n] = [-math.inf, *inner, math.inf]
-        tagged = with_range_bucket(tagged, n, inner, f"b_{n}")
+    """Replace each segment by those of its buckets that hold a wanted rank."""
     counted = (
-        tagged.select(*[F.col(f"b_{n}").alias(n) for n in names])
-        .unpivot([], names, "segment", "bucket")
-        .where(F.col("bucket").isNotNull())
+        _bucket_view(values, segments)
         .groupBy("segment", "bucket")
-        .count()
+        .agg(F.count("*").alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
+        .collect()  # at most BUCKETS rows per segment
     )
-    sizes: dict[str, dict[int, int]] = {n: {} for n in names}
-    for name, bucket, rows in counted.collect():  # at most 2 * SPLITS rows per segment
-        sizes[name][int(bucket)] = rows
-
     out: list[_Segment] = []
-    for n, segment in zip(names, segments):
-        order = sorted(sizes[n])
-        upto, total = [], 0
-        for b in order:
-            total += sizes[n][b]
-            upto.append(total)
-        hit: dict[int, _Segment] = {}
-        for rank, inside in segment.ranks.items():
-            i = bisect.bisect_right(upto, inside)
-            b = order[i]
-            low, high = edges[n][b], edges[n][b + 1]
-            if low != -math.inf and high == math.nextafter(low, math.inf):
-                found[(segment.column, rank)] = low
-                continue
-            part = hit.setdefault(
-                b,
-                _Segment(
-                    segment.column, max(low, segment.low), min(high, segment.high), sizes[n][b], {}
-                ),
-            )
-            part.ranks[rank] = inside - (upto[i] - sizes[n][b])
-        out.extend(hit.values())
+    for i, segment in enumerate(segments):
+        todo, upto = sorted(segment.ranks.items(), key=lambda kv: kv[1]), 0
+        for b in sorted((r for r in counted if r.segment == i), key=lambda r: r.bucket):
+            hits = {}
+            while todo and todo[0][1] < upto + b.rows:
+                rank, inside = todo.pop(0)
+                hits[rank] = inside - upto
+            upto += b.rows
+            if hits and b.low == b.high:
+                found.update({(segment.column, rank): b.low for rank in hits})
+            elif hits:
+                crowded = b.rows * 16 > segment.rows
+                out.append(_Segment(segment.column, b.low, b.high, b.rows, hits, crowded))
     return out
 
 
 def _rank_small(values: DataFrame, segments: list[_Segment], found: dict) -> None:
-    spark = values.sparkSession
     names = [f"s{i}" for i in range(len(segments))]
-    view = values.select(*[s.value().alias(n) for s, n in zip(segments, names)])
     collapsed = (
-        view.unpivot([], names, "segment", "value")
+        values.select(*[s.value().alias(n) for s, n in zip(segments, names)])
+        .unpivot([], names, "segment", "value")
         .where(F.col("value").isNotNull())
         .groupBy("segment", "value")
         .count()
     )
     upto = F.sum("count").over(Window.partitionBy("segment").orderBy("value"))
-    targets = spark.createDataFrame(
-        [(n, r, inside) for n, s in zip(names, segments) for r, inside in s.ranks.items()],
-        "segment string, rank long, inside long",
-    )
-    hits = (
-        collapsed.withColumn("upto", upto)
-        .join(F.broadcast(targets), "segment")
-        .where((F.col("inside") < F.col("upto")) & (F.col("inside") >= F.col("upto") - F.col("count")))
-        .select("segment", "rank", "value")
-    )
-    for name, rank, value in hits.collect():  # two ranks per column and probability
-        found[(segments[names.index(name)].column, rank)] = value
+    wanted: Column = F.lit(False)
+    for n, s in zip(names, segments):
+        hit = F.lit(False)
+        for inside in sorted(set(s.ranks.values())):
+            hit = hit | ((F.col("upto") > inside) & (F.col("upto") - F.col("count") <= inside))
+        wanted = wanted | ((F.col("segment") == n) & hit)
+    hits = collapsed.withColumn("upto", upto).where(wanted).collect()  # two per probability
+    for n, s in zip(names, segments):
+        mine = sorted((r for r in hits if r.segment == n), key=lambda r: r.upto)
+        for rank, inside in s.ranks.items():
+            found[(s.column, rank)] = next(r.value for r in mine if r.upto > inside)
 
 
 def _interpolate(rows: int, prob: float, value_at) -> float:
@@ -164,6 +164,9 @@ def _interpolate(rows: int, prob: float, value_at) -> float:
     return (high - position) * below + (position - low) * above
 
 
+_SHAPE = {"n": F.count, "l": F.min, "h": F.max}
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -173,24 +176,32 @@ def exact_quantiles(
     """Linear-interpolation quantiles of each column, NULLs ignored.
 
     A fit step: it runs jobs and returns ``len(columns) * len(probs)`` numbers.
-    A column without values maps to None.
+    A column without values maps to None. ``segment_rows`` lowers the number of rows
+    that are ranked directly.
     """
     columns = list(columns)
     if not columns:
         return {}
-    limit = segment_rows or SEGMENT_ROWS
+    at_once = RANK_AT_ONCE if segment_rows is None else segment_rows
+    limit = SEGMENT_ROWS if segment_rows is None else segment_rows
     values = numeric_view(df, columns)
-    counts = values.agg(*[F.count(F.col(c)).alias(c) for c in columns]).first().asDict()
+    shape = values.agg(
+        *[f(c).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in _SHAPE.items()]
+    ).first()
+    counts = {c: shape[f"n{i}"] for i, c in enumerate(columns)}
 
     found: dict[tuple[str, int], float] = {}
     pending = []
-    for c in columns:
+    for i, c in enumerate(columns):
         positions = [p * (counts[c] - 1) for p in probs] if counts[c] else []
         ranks = {r for p in positions for r in (math.floor(p), math.ceil(p))}
-        if ranks:
-            pending.append(_Segment(c, -math.inf, math.inf, counts[c], {r: r for r in ranks}))
-    small = [s for s in pending if s.rows <= limit]
-    large = [s for s in pending if s.rows > limit]
+        low, high = shape[f"l{i}"], shape[f"h{i}"]
+        if ranks and low == high:
+            found.update({(c, r): low for r in ranks})
+        elif ranks:
+            pending.append(_Segment(c, low, high, counts[c], {r: r for r in ranks}))
+    small = [s for s in pending if s.rows <= at_once]
+    large = [s for s in pending if s.rows > at_once]
     while large:
         narrowed = _narrow(values, large, found)
         small += [s for s in narrowed if s.rows <= limit]
@@ -209,5 +220,5 @@ def exact_medians(
     df: DataFrame, columns: Sequence[str], segment_rows: int | None = None
 ) -> dict[str, float | None]:
     """Exact median per column; None where a column has no values."""
-    fitted: Mapping = exact_quantiles(df, columns, [0.5], segment_rows)
+    fitted = exact_quantiles(df, columns, [0.5], segment_rows)
     return {c: (q[0] if q else None) for c, q in fitted.items()}

@@ -11,7 +11,7 @@ from conftest import DATA
 PROBS = [i / 10 for i in range(11)]
 
 
-@pytest.mark.parametrize("limit", [None, 700])
+@pytest.mark.parametrize("limit", [None, 700, 40])
 def test_equals_builtin_percentile(spark, limit):
     df = spark.read.parquet(f"{DATA}/lineitem.parquet")
     columns = ["l_quantity", "l_extendedprice", "l_tax"]
@@ -28,6 +28,18 @@ def test_narrowing_handles_a_value_that_fills_most_of_the_table(spark):
     assert ours == list(hot.agg(F.percentile("v", PROBS)).first()[0])
 
 
+def test_heavy_tail_and_infinities_fall_back_to_a_sketch(spark, monkeypatch):
+    tails = spark.range(3000).select(F.exp(F.col("id") / 5.0).alias("v"))
+    ours = quantiles.exact_quantiles(tails, ["v"], PROBS, 30)["v"]
+    assert ours == list(tails.agg(F.percentile("v", PROBS)).first()[0])
+    probs = [0.25, 0.5, 0.75]
+    open_ended = spark.range(1000).select(
+        F.when(F.col("id") < 10, -math.inf).when(F.col("id") > 990, math.inf).otherwise(F.col("id") / 3).alias("v")
+    )
+    ours = quantiles.exact_quantiles(open_ended, ["v"], probs, 30)["v"]
+    assert ours == list(open_ended.agg(F.percentile("v", probs)).first()[0])
+
+
 def test_partitioning_does_not_matter(spark):
     df = spark.read.parquet(f"{DATA}/orders.parquet").select("o_totalprice")
     results = [
