@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 # Bucket bounds, alert limits and the denominator guard.
 LATENCY_BOUNDS = (0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5)
@@ -20,14 +21,18 @@ MIN_RATE = 0.001
 MINUTE, HOUR, DAY = 60, 3600, 86400
 
 
-def epoch_seconds(c: Column) -> Column:
-    """Whole epoch seconds of a timestamp with or without time zone (read as UTC)."""
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), c.cast("timestamp_ntz"))
+def epoch_seconds(df: DataFrame, ts: str) -> Column:
+    """Whole epoch seconds of a timestamp column. One without time zone is read as
+    UTC, whatever the session zone is."""
+    if df.schema[ts].dataType == TimestampNTZType():
+        start = F.lit("1970-01-01").cast("timestamp_ntz")
+        return F.timestamp_diff("SECOND", start, F.col(ts))
+    return F.unix_seconds(F.col(ts).cast("timestamp"))
 
 
-def step_start(ts: Column, step: int) -> Column:
+def step_start(df: DataFrame, ts: str, step: int) -> Column:
     """Start of the step a timestamp falls in, in epoch seconds."""
-    seconds = epoch_seconds(ts)
+    seconds = epoch_seconds(df, ts)
     return seconds - F.pmod(seconds, F.lit(step))
 
 
@@ -35,7 +40,7 @@ def partials(
     df: DataFrame, ts: str, step: int, aggregates: Mapping[str, Column], keys: Sequence[str | Column] = ()
 ) -> DataFrame:
     """(slot, keys..., aggregates...) with slot = step start in epoch seconds."""
-    return df.groupBy(step_start(F.col(ts), step).alias("slot"), *keys).agg(
+    return df.groupBy(step_start(df, ts, step).alias("slot"), *keys).agg(
         *[a.alias(n) for n, a in aggregates.items()]
     )
 

@@ -71,9 +71,9 @@ def report_rows(report):
     UNION ALL SELECT 'segment', 'missing_fraction', round(n2 / n, 4), NULL, n2 / n <= 0.15,
       CASE WHEN n2 / n > 0.15 THEN printf('''segment'' is %.1f%% null (limit 15%%)', 100 * n2 / n) END FROM n
     UNION ALL SELECT 'segment', 'observed_values', NULL,
-      (SELECT '[' || string_agg(v, ', ' ORDER BY v) || ']' FROM seen), true, NULL
+      (SELECT '[' || string_agg('''' || v || '''', ', ' ORDER BY v) || ']' FROM seen), true, NULL
     UNION ALL SELECT 'segment', 'unexpected_values', (SELECT count(*) FROM odd), NULL, (SELECT count(*) = 0 FROM odd),
-      (SELECT '''segment'' has unexpected categories [' || string_agg(v, ', ' ORDER BY v) || ']' FROM odd)
+      (SELECT '''segment'' has unexpected categories [' || string_agg('''' || v || '''', ', ' ORDER BY v) || ']' FROM odd)
     UNION ALL SELECT 'balance_gap', 'missing_fraction', round(n3 / n, 4), NULL, n3 / n <= 0.15,
       CASE WHEN n3 / n > 0.15 THEN printf('''balance_gap'' is %.1f%% null (limit 15%%)', 100 * n3 / n) END FROM n
     UNION ALL SELECT 'balance_gap', 'nulls', n3, NULL, n3 = 0,

@@ -242,7 +242,7 @@ def psi_by_day(spark, sf):
     profile = events_profile(spark, sf)
     events = table(spark, sf, "events")
     rows = drift.bucket_rows(
-        events, profile.edges, profile.categorical, [step_start(F.col("ts"), DAY).alias("slot")]
+        events, profile.edges, profile.categorical, [step_start(events, "ts", DAY).alias("slot")]
     )
     counts = rows.groupBy("slot", "feature", "bucket").agg(F.count("*").alias("n"))
     scored = drift.psi_by_window(profile, counts, ["slot"])

@@ -186,7 +186,7 @@ def mean_batch_size(spark, sf):
 )
 def last_gauge(spark, sf):
     latest = m.last_gauge(events(spark, sf), "ts", "value", "user_id", tie="event_id")
-    return latest.select("user_id", "value", m.epoch_seconds(F.col("ts")).alias("seconds"))
+    return latest.select("user_id", "value", m.epoch_seconds(latest, "ts").alias("seconds"))
 
 
 @query(

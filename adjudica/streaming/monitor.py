@@ -121,10 +121,15 @@ def write_drift(profile: DriftProfile, counts: DataFrame, path: str, checkpoint:
     """
 
     def score(batch: DataFrame, batch_id: int) -> None:
-        scored = psi_by_window(profile, batch, ["slot"])
-        scored.withColumn("status", classify(F.col("psi"))).write.mode("overwrite").parquet(
-            f"{path}/batch={batch_id}"
-        )
+        # scoring reads the counts twice; the state behind them is read once
+        batch.persist()
+        try:
+            scored = psi_by_window(profile, batch, ["slot"])
+            scored.withColumn("status", classify(F.col("psi"))).write.mode("overwrite").parquet(
+                f"{path}/batch={batch_id}"
+            )
+        finally:
+            batch.unpersist()
 
     return (
         counts.writeStream.foreachBatch(score)

@@ -7,6 +7,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import TimestampNTZType
 
 from ..session import work_dir
 
@@ -21,8 +22,11 @@ def file_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def event_time(stream: DataFrame, ts: str) -> DataFrame:
-    """Watermarks need an instant; zone-less timestamps are read in the session zone."""
-    return stream.withColumn(ts, F.col(ts).cast("timestamp"))
+    """Watermarks need an instant: a zone-less timestamp is read as UTC."""
+    if stream.schema[ts].dataType != TimestampNTZType():
+        return stream.withColumn(ts, F.col(ts).cast("timestamp"))
+    start = F.lit("1970-01-01").cast("timestamp_ntz")
+    return stream.withColumn(ts, F.timestamp_micros(F.timestamp_diff("MICROSECOND", start, F.col(ts))))
 
 
 @contextmanager
