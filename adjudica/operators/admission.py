@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,29 +71,37 @@ class RecordContract:
         return [r.name for r in self.rules]
 
 
-def with_violations(
-    df: DataFrame, contract: RecordContract, column: str = "violations", extra: Sequence[Column] = ()
-) -> DataFrame:
-    """Add the array of violated rules; an absent column takes the rule's default."""
+def _checked(df: DataFrame, contract: RecordContract) -> tuple[DataFrame, list[Column]]:
+    """(rows with defaults for absent columns, message-or-null column per rule)."""
     present = [r for r in contract.rules if r.name in df.columns]
     absent = [r for r in contract.rules if r.name not in df.columns]
-    for r in absent:
-        kind = "double" if r.kind == "number" else "string"
-        df = df.withColumn(r.name, F.lit(r.default).cast(kind))
-    found: list[Column] = list(extra)
+    found: list[Column] = []
     for r in present:
         found += field_violations(r, F.col(r.name), df.schema[r.name].dataType)
     found += [F.lit(f"{r.name}: field required") for r in absent if r.required]
-    if not found:
-        return df.withColumn(column, F.array().cast("array<string>"))
-    return df.withColumn(column, F.array_compact(F.array(*found)))
+    kinds = {"number": "double", "enum": "string"}
+    return df.withColumns({r.name: F.lit(r.default).cast(kinds[r.kind]) for r in absent}), found
+
+
+def _messages(found: Sequence[Column]) -> Column:
+    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+
+
+def with_violations(df: DataFrame, contract: RecordContract, column: str = "violations") -> DataFrame:
+    """Add the array of violated rules; an absent column takes the rule's default."""
+    rows, found = _checked(df, contract)
+    return rows.withColumn(column, _messages(found))
 
 
 def admit(df: DataFrame, contract: RecordContract) -> tuple[DataFrame, DataFrame]:
-    """(admitted rows, quarantined rows with their violations)."""
-    checked = with_violations(df, contract)
-    valid = F.size("violations") == 0
-    return checked.where(valid).drop("violations"), checked.where(~valid)
+    """(admitted rows, quarantined rows with their violations).
+
+    The filter is a plain conjunction inside generated code; only quarantined rows
+    build the array of messages.
+    """
+    rows, found = _checked(df, contract)
+    valid = reduce(Column.__and__, [m.isNull() for m in found], F.lit(True))
+    return rows.where(valid), rows.where(~valid).withColumn("violations", _messages(found))
 
 
 def violation_counts(df: DataFrame, contract: RecordContract) -> DataFrame:
