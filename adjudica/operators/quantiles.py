@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import to_number
+from ..session import small_table
 
 BUCKETS = 4096
 SPLITS = 1024  # cuts asked of a sketch
@@ -76,9 +77,9 @@ class _Segment:
     ranks: dict[int, int]  # rank in the column -> rank inside the segment
     by_sketch: bool = False
 
-    def value(self) -> Column:
+    def holds(self) -> Column:
         c = F.col(self.column)
-        return F.when((c >= self.low) & (c <= self.high), c)
+        return (c >= self.low) & (c <= self.high)
 
     def even_width(self) -> float | None:
         """Width of an equal-width bucket, where arithmetic on the range is safe."""
@@ -86,25 +87,48 @@ class _Segment:
         return width if 1e-290 < width < math.inf and not self.by_sketch else None
 
 
+def _entries(values: DataFrame, segments: list[_Segment]) -> DataFrame:
+    """(segment, value) of the values inside any segment: one entry per column and
+    row at most, as the segments of a column are disjoint."""
+    by_column: dict[str, Column] = {}
+    inside = F.lit(False)
+    for i, s in enumerate(segments):
+        found = by_column.get(s.column)
+        by_column[s.column] = F.when(s.holds(), i) if found is None else found.when(s.holds(), i)
+        inside = inside | s.holds()
+    entries = [
+        F.struct(found.alias("segment"), F.col(c).alias("value")) for c, found in by_column.items()
+    ]
+    # the row filter lets the scan skip what no segment needs
+    long = values.where(inside).select(F.inline(F.array(*entries)))
+    return long.where(F.col("segment").isNotNull())
+
+
 def _bucket_view(values: DataFrame, segments: list[_Segment]) -> DataFrame:
     """(segment, bucket, value): bucket numbers ascend with the value."""
-    view = values.select(*[s.value().alias(f"v{i}") for i, s in enumerate(segments)])
+    long = _entries(values, segments)
+    widths = small_table(
+        long.sparkSession,
+        [(i, s.low, s.even_width()) for i, s in enumerate(segments)],
+        "segment int, low double, width double",
+    )
+    long = long.join(F.broadcast(widths), "segment")  # one row per segment
+    even = F.floor((F.col("value") - F.col("low")) / F.col("width"))
+    bucket = F.least(even, F.lit(BUCKETS - 1)).cast("int")
+
     sketched = [i for i, s in enumerate(segments) if s.even_width() is None]
-    splits = sketch_splits(view, [f"v{i}" for i in sketched], SPLITS)
-    for i in sketched:
-        # v and the next double after it: a frequent value becomes a bucket of its own
-        inner = {e for v in splits[f"v{i}"] for e in (v, math.nextafter(v, math.inf))}
-        view = with_range_bucket(view, f"v{i}", sorted(inner), f"b{i}")
-    entries = []
-    for i, s in enumerate(segments):
-        v, width = F.col(f"v{i}"), s.even_width()
-        bucket = (
-            F.col(f"b{i}")
-            if width is None
-            else F.least(F.floor((v - s.low) / width), F.lit(BUCKETS - 1)).cast("int")
-        )
-        entries.append(F.struct(F.lit(i).alias("segment"), bucket.alias("bucket"), v.alias("value")))
-    return view.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull())
+    if sketched:
+        own = {i: F.when(F.col("segment") == i, F.col("value")).alias(f"v{i}") for i in sketched}
+        splits = sketch_splits(long.select(*own.values()), [f"v{i}" for i in sketched], SPLITS)
+        long = long.select("*", *own.values())
+        found = bucket
+        for i in sketched:
+            # v and the next double after it: a frequent value becomes a bucket of its own
+            inner = {e for v in splits[f"v{i}"] for e in (v, math.nextafter(v, math.inf))}
+            long = with_range_bucket(long, f"v{i}", sorted(inner), f"b{i}")
+            found = F.when(F.col("segment") == i, F.col(f"b{i}")).otherwise(found)
+        bucket = found
+    return long.select("segment", bucket.alias("bucket"), "value")
 
 
 def _narrow(values: DataFrame, segments: list[_Segment], found: dict) -> list[_Segment]:
@@ -133,26 +157,24 @@ def _narrow(values: DataFrame, segments: list[_Segment], found: dict) -> list[_S
 
 
 def _rank_small(values: DataFrame, segments: list[_Segment], found: dict) -> None:
-    names = [f"s{i}" for i in range(len(segments))]
-    collapsed = (
-        values.select(*[s.value().alias(n) for s, n in zip(segments, names)])
-        .unpivot([], names, "segment", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("segment", "value")
-        .count()
-    )
+    collapsed = _entries(values, segments).groupBy("segment", "value").count()
     upto = F.sum("count").over(Window.partitionBy("segment").orderBy("value"))
-    wanted: Column = F.lit(False)
-    for n, s in zip(names, segments):
-        hit = F.lit(False)
-        for inside in sorted(set(s.ranks.values())):
-            hit = hit | ((F.col("upto") > inside) & (F.col("upto") - F.col("count") <= inside))
-        wanted = wanted | ((F.col("segment") == n) & hit)
-    hits = collapsed.withColumn("upto", upto).where(wanted).collect()  # two per probability
-    for n, s in zip(names, segments):
-        mine = sorted((r for r in hits if r.segment == n), key=lambda r: r.upto)
-        for rank, inside in s.ranks.items():
-            found[(s.column, rank)] = next(r.value for r in mine if r.upto > inside)
+    targets = small_table(
+        values.sparkSession,
+        [(i, inside) for i, s in enumerate(segments) for inside in set(s.ranks.values())],
+        "segment int, inside long",
+    )
+    reached = (F.col("inside") < F.col("upto")) & (F.col("inside") >= F.col("upto") - F.col("count"))
+    hits = (
+        collapsed.withColumn("upto", upto)
+        .join(F.broadcast(targets), "segment")  # two rows per column and probability
+        .where(reached)
+        .select("segment", "inside", "value")
+        .collect()
+    )
+    value_at = {(r.segment, r.inside): r.value for r in hits}
+    for i, s in enumerate(segments):
+        found.update({(s.column, rank): value_at[(i, inside)] for rank, inside in s.ranks.items()})
 
 
 def _interpolate(rows: int, prob: float, value_at) -> float:

@@ -10,7 +10,7 @@ from ..operators import features, labels, rewrite
 from ..operators.drift import classify
 from ..operators.models import logit_score
 from ..operators.preprocess import build_preprocessor, feature_names, most_frequent
-from ..session import work_dir
+from ..session import small_table, work_dir
 from ..sources.tables import write_parquet
 from .registry import query, table
 
@@ -293,9 +293,7 @@ def onehot_unseen(spark, sf):
 )
 def most_frequent_values(spark, sf):
     modes = most_frequent(table(spark, sf, "orders"), ["o_orderpriority", "o_custkey"])
-    # the fitted values are one per column; the frame below only carries them out
-    fitted = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(v).alias("value")) for c, v in modes.items()])
-    return spark.range(1).select(F.inline(fitted))
+    return small_table(spark, list(modes.items()), "column string, value string")
 
 
 @query(

@@ -6,7 +6,17 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+
+_ARROW = {
+    "int": pa.int32(),
+    "long": pa.int64(),
+    "double": pa.float64(),
+    "string": pa.string(),
+    "boolean": pa.bool_(),
+    "array<double>": pa.list_(pa.float64()),
+}
 
 
 def local_session(cores: int | str = 8, name: str = "adjudica", **conf: str) -> SparkSession:
@@ -48,3 +58,12 @@ def work_root(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique folder below the shared root."""
     return os.path.join(work_root(spark), f"{purpose}-{uuid.uuid4().hex}")
+
+
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A frame of fitted values. Arrow input becomes a local relation: no job runs to
+    read it, and the planner knows how small it is."""
+    fields = [f.strip().split(" ", 1) for f in schema.split(",")]
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    arrays = [pa.array(list(values), _ARROW[kind]) for values, (_, kind) in zip(columns, fields)]
+    return spark.createDataFrame(pa.table(arrays, names=[name for name, _ in fields]))
