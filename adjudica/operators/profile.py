@@ -6,10 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ..functions.numeric import clip, to_number
 from .quantiles import exact_quantiles, numeric_view
 
+MAX_CLASSES = 1000  # classes a label column may have
+
 
 def head(df: DataFrame, n: int = 5, order_by: Sequence[str] = ()) -> DataFrame:
     """First n rows in a stated order (top-k: no full sort)."""
@@ -168,22 +171,36 @@ def class_histogram(
         .unpivot(["label"], columns, "feature", "v")
         .where(F.col("v").isNotNull() & F.col("label").isNotNull())
     )
-    span = long.groupBy("feature", "label").agg(
-        F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n")
+    # read once, so that the size of what is broadcast below is known
+    limit = MAX_CLASSES * len(columns)
+    spans = (
+        long.groupBy("feature", "label")
+        .agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n"))
+        .limit(limit + 1)
+        .collect()
     )
+    if len(spans) > limit:
+        raise ValueError(f"column '{label}' has too many classes for a histogram each")
     # a constant column gets the unit range around its value
-    flat = F.col("lo") == F.col("hi")
-    span = span.select(
-        "feature",
-        "label",
-        "n",
-        F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
+    span = df.sparkSession.createDataFrame(
+        [
+            (r.feature, r.label, r.n, *((r.lo - 0.5, r.hi + 0.5) if r.lo == r.hi else (r.lo, r.hi)))
+            for r in spans
+        ],
+        StructType(
+            [
+                StructField("feature", StringType()),
+                StructField("label", df.schema[label].dataType),
+                StructField("n", LongType()),
+                StructField("lo", DoubleType()),
+                StructField("hi", DoubleType()),
+            ]
+        ),
     )
     width = (F.col("hi") - F.col("lo")) / bins
     index = F.least(F.lit(bins - 1), F.floor((F.col("v") - F.col("lo")) / width)).cast("int")
     counted = (
-        long.join(F.broadcast(span), ["feature", "label"])  # features x classes rows
+        long.join(F.broadcast(span), ["feature", "label"])  # at most MAX_CLASSES rows per column
         .groupBy("feature", "label", "lo", "hi", "n", index.alias("bin"))
         .agg(F.count("*").alias("rows"))
         .groupBy("feature", "label", "lo", "hi", "n")
