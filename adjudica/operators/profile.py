@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ..functions.numeric import clip, to_number
+from ..session import small_table
 from .quantiles import exact_quantiles, numeric_view
 
 MAX_CLASSES = 1000  # classes a label column may have
@@ -182,21 +182,13 @@ def class_histogram(
     if len(spans) > limit:
         raise ValueError(f"column '{label}' has too many classes for a histogram each")
     # a constant column gets the unit range around its value
-    span = df.sparkSession.createDataFrame(
-        [
-            (r.feature, r.label, r.n, *((r.lo - 0.5, r.hi + 0.5) if r.lo == r.hi else (r.lo, r.hi)))
-            for r in spans
-        ],
-        StructType(
-            [
-                StructField("feature", StringType()),
-                StructField("label", df.schema[label].dataType),
-                StructField("n", LongType()),
-                StructField("lo", DoubleType()),
-                StructField("hi", DoubleType()),
-            ]
-        ),
-    )
+    rows = [
+        (r.feature, str(r.label), r.n, *((r.lo - 0.5, r.hi + 0.5) if r.lo == r.hi else (r.lo, r.hi)))
+        for r in spans
+    ]
+    span = small_table(
+        df.sparkSession, rows, "feature string, label string, n long, lo double, hi double"
+    ).withColumn("label", F.col("label").cast(df.schema[label].dataType))
     width = (F.col("hi") - F.col("lo")) / bins
     index = F.least(F.lit(bins - 1), F.floor((F.col("v") - F.col("lo")) / width)).cast("int")
     counted = (
