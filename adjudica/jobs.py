@@ -1,6 +1,6 @@
 """Job entries for ``spark-submit``: generate, flow, drift, rewrite.
 
-    spark-submit -m adjudica.jobs drift --profile P --current C --report R --fail-on-alert
+    python -m adjudica.jobs drift --profile P --current C --report R --fail-on-alert
 """
 
 from __future__ import annotations
