@@ -15,6 +15,7 @@ from .monitor_queries import VALUE_BOUNDS, quantile_sql, slot_sql
 from .registry import query
 
 _DELAY = "1 hour"
+ALERT_PARTITIONS = 8  # one state record per series: a handful
 _CLOSED = "(SELECT epoch(max(ts)) - 3600 FROM events)"
 
 
@@ -115,7 +116,8 @@ def stream_alert_approval(spark, sf):
     runs.start_to_parquet(evaluations, f"{root}/out", f"{root}/state").awaitTermination()
     stored = spark.readStream.schema(evaluations.schema).parquet(f"{root}/out")
     flagged = stored.select("slot", (F.col("ratio") > 0.3).alias("pending"))
-    return runs.run_to_table(alerts.duration_alerts(flagged, [], 600, 1800), "stream-alert")
+    firing = alerts.duration_alerts(flagged, [], 600, 1800)
+    return runs.run_to_table(firing, "stream-alert", ALERT_PARTITIONS)
 
 
 @query(
@@ -139,7 +141,7 @@ def stream_no_traffic(spark, sf):
     flagged = stored.select("lane", "slot", F.lit(False).alias("pending"))
     # the watermark stays behind the last event, so an open tail is not judged here
     silent = alerts.duration_alerts(flagged, ["lane"], batch.HOUR, 4 * batch.HOUR, True, "60 days")
-    return runs.run_to_table(silent, "stream-silence")
+    return runs.run_to_table(silent, "stream-silence", ALERT_PARTITIONS)
 
 
 @query("stream_drift", drift_queries._BY_DAY.replace("FROM full_ GROUP BY", f"FROM full_ WHERE slot + 86400 <= {_CLOSED} GROUP BY"))
@@ -150,7 +152,7 @@ def stream_drift(spark, sf):
     profile = drift.DriftProfile.load(spark, path)
     counts = monitor.drift_counts(profile, event_stream(spark, sf), "ts", batch.DAY, _DELAY)
     root = work_dir(spark, "stream-drift")
-    with runs.rocksdb_state(spark):
+    with runs.stream_settings(spark):
         started = monitor.write_drift(profile, counts, f"{root}/out", f"{root}/state")
     started.awaitTermination()
     stored = spark.read.schema("slot long, feature string, psi double, status string").parquet(f"{root}/out")

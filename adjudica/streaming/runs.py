@@ -11,6 +11,7 @@ from pyspark.sql.types import TimestampNTZType
 
 from ..session import work_dir
 
+_PARTITIONS = "spark.sql.shuffle.partitions"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -30,23 +31,32 @@ def event_time(stream: DataFrame, ts: str) -> DataFrame:
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession):
-    """State that spills to disk, for the queries started inside the block."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+def stream_settings(spark: SparkSession, state_partitions: int | None = None):
+    """For the queries started inside the block: state that spills to disk, and at most
+    ``state_partitions`` tasks where the state is known to be small."""
+    wanted = {_PROVIDER: _ROCKSDB}
+    if state_partitions is not None:
+        now = int(spark.conf.get(_PARTITIONS))
+        wanted[_PARTITIONS] = str(min(now, state_partitions))
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
-def start_to_parquet(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def start_to_parquet(
+    stream: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None
+) -> StreamingQuery:
     """Process everything available now, append to ``path``; a restart with the same
     checkpoint resumes without loss or repetition."""
-    with rocksdb_state(stream.sparkSession):
+    with stream_settings(stream.sparkSession, state_partitions):
         return (
             stream.writeStream.format("parquet")
             .option("path", path)
@@ -57,11 +67,11 @@ def start_to_parquet(stream: DataFrame, path: str, checkpoint: str) -> Streaming
         )
 
 
-def run_to_table(stream: DataFrame, purpose: str) -> DataFrame:
+def run_to_table(stream: DataFrame, purpose: str, state_partitions: int | None = None) -> DataFrame:
     """Run to completion into a fresh folder and read the result back."""
     spark = stream.sparkSession
     root = work_dir(spark, purpose)
-    query = start_to_parquet(stream, f"{root}/out", f"{root}/state")
+    query = start_to_parquet(stream, f"{root}/out", f"{root}/state", state_partitions)
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{root}/out")
 
