@@ -87,7 +87,7 @@ def plan_mix(
     cap: int = 2,
     schedules: Sequence[Sequence[tuple[float, float]]] = SCHEDULES,
     seed: int = 0,
-    bucket_digits: int = 4,
+    bucket_digits: int = 3,
     key: str = "doc_id",
     text: str = "text",
     source: str = "source",

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import curriculum, language_id, token_store
-from .shared import table
+from . import curriculum, language_id, ppm, token_store
+from .shared import remainder_of_id, table
 
 #: Vocabulary file of the token store, as ``public_tokenizers`` names it.
 TOKENIZER = "word_bpe_49k.json"
@@ -18,6 +18,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder_of_id("doc_id", 7) == 2
+    scored = ppm.score_documents(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = curriculum.plan_mix(table(spark, sf_dir, "documents"))
     first = F.when(F.size("positions") > 0, F.col("positions")[0])
@@ -76,6 +82,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ppm_score": op1_ppm_score,
     "op6_mix_curriculum": op6_mix_curriculum,
     "op8_token_store": op8_token_store,
     "op9_language_id": op9_language_id,

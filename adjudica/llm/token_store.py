@@ -55,31 +55,54 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+#: Chunks that may be cut between letters and other characters: ASCII and Latin-1 letters,
+#: without an apostrophe (English endings) and without the opening of a special token.
+_LETTERS = rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])"
+_SIMPLE = re.compile(rb"(?:(?!<\|)[!-&(-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+_PIECES = re.compile(rb"%b+|(?:(?!%b)[\x00-\xff])+" % (_LETTERS, _LETTERS))
+
+
 class Encoder:
     """Ids of a text as little-endian u32 bytes.
 
-    The tokenizer drops white space between pieces, so a text is encoded piece by piece
-    between ASCII white space, and the ids of short pieces are remembered.
+    The tokenizer drops white space and treats runs of letters by themselves, whatever
+    their case. So a text is cut at ASCII white space, plain chunks are cut once more between
+    letters and other characters, and the ids of short chunks and pieces are remembered.
     """
 
-    def __init__(self, path: str, remembered: int = 400_000):
-        self.path, self.remembered, self.known = path, remembered, {}
+    def __init__(self, path: str, remembered: int = 300_000):
+        self.path, self.remembered = path, remembered
+        self.chunks: dict[bytes, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
 
     def __call__(self, text: bytes) -> bytes:
-        pieces = text.split()
-        known = self.known
+        chunks, known = text.split(), self.chunks
         try:
-            return b"".join([known[p] for p in pieces])
+            return b"".join([known[c] for c in chunks])
         except KeyError:
             pass
-        new = [p for p in dict.fromkeys(pieces) if p not in known]
-        if len(known) + len(new) > self.remembered:
+        here = self._encode([c for c in dict.fromkeys(chunks) if c not in known])
+        joined = b"".join([here[c] if c in here else known[c] for c in chunks])
+        if len(known) + len(here) > self.remembered:
             known.clear()
-            new = list(dict.fromkeys(pieces))
+        known.update((c, ids) for c, ids in here.items() if len(c) <= 48)
+        return joined
+
+    def _encode(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        cut = {}
+        for c in chunks:
+            low = c.lower()
+            cut[c] = _PIECES.findall(low) if _SIMPLE.fullmatch(low) else [c]
+        pieces = self.pieces
+        new = [p for p in dict.fromkeys(p for ps in cut.values() for p in ps) if p not in pieces]
+        if len(pieces) + len(new) > 2 * self.remembered:
+            pieces.clear()
+            new = list(dict.fromkeys(p for ps in cut.values() for p in ps))
         encoded = _tokenizer(self.path).encode_batch([p.decode("utf-8", "replace") for p in new], add_special_tokens=False)
-        here = {p: np.asarray(e.ids, "<u4").tobytes() for p, e in zip(new, encoded)}
-        known.update((p, ids) for p, ids in here.items() if len(p) <= 64)
-        return b"".join([here[p] if p in here else known[p] for p in pieces])
+        fresh = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, encoded)}
+        out = {c: b"".join([fresh[p] if p in fresh else pieces[p] for p in ps]) for c, ps in cut.items()}
+        pieces.update((p, ids) for p, ids in fresh.items() if len(p) <= 48)
+        return out
 
 
 @functools.lru_cache(maxsize=2)
