@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import curriculum, language_id, near_dedup, ppm, token_store
+from . import curriculum, language_id, near_dedup, ppm, suffix_dedup, token_store
 from .shared import remainder_of_id, table
 
 #: Vocabulary file of the token store, as ``public_tokenizers`` names it.
@@ -24,6 +24,10 @@ def op1_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_digests(table(spark, sf_dir, "documents"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -88,6 +92,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ppm_score": op1_ppm_score,
+    "op3_suffix_array": op3_suffix_array,
     "op5_near_dedup": op5_near_dedup,
     "op6_mix_curriculum": op6_mix_curriculum,
     "op8_token_store": op8_token_store,
