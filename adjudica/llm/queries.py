@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import curriculum, language_id, near_dedup, ppm, suffix_dedup, token_store
+from . import curriculum, language_id, near_dedup, ppm, substring_dedup, suffix_dedup, token_store
 from .shared import remainder_of_id, table
 
 #: Vocabulary file of the token store, as ``public_tokenizers`` names it.
@@ -80,6 +80,10 @@ FROM p
 """
 
 
+def op7_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeat_digests(table(spark, sf_dir, "documents"))
+
+
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, dictionary = token_store.write_documents(table(spark, sf_dir, "documents"), tokenizer_path())
     return token_store.read_documents(spark, folder, dictionary)
@@ -95,6 +99,7 @@ QUERIES = {
     "op3_suffix_array": op3_suffix_array,
     "op5_near_dedup": op5_near_dedup,
     "op6_mix_curriculum": op6_mix_curriculum,
+    "op7_suffix_tree": op7_suffix_tree,
     "op8_token_store": op8_token_store,
     "op9_language_id": op9_language_id,
 }
