@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import curriculum, language_id, near_dedup, ppm, substring_dedup, suffix_dedup, token_store
+from . import collision_ann, curriculum, language_id, near_dedup, ppm, substring_dedup, suffix_dedup, token_store
 from .shared import remainder_of_id, table
 
 #: Vocabulary file of the token store, as ``public_tokenizers`` names it.
@@ -94,6 +94,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op10_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {
     "op1_ppm_score": op1_ppm_score,
     "op3_suffix_array": op3_suffix_array,
@@ -102,5 +106,6 @@ QUERIES = {
     "op7_suffix_tree": op7_suffix_tree,
     "op8_token_store": op8_token_store,
     "op9_language_id": op9_language_id,
+    "op10_collision_ann": op10_collision_ann,
 }
 ORACLES = {"op6_mix_curriculum": MIX_SQL}

@@ -23,6 +23,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from .shared import batches_of, parts_for, raw_text, record_batch, text_bytes
+from .shared import batches_of, parts_for, raw_text, record_batch, stored, text_bytes
 
 MAGIC = b"TIDS"
 _HEAD = "<4sB32s"
@@ -59,6 +60,7 @@ def _tokenizer(path: str):
 #: without an apostrophe (English endings) and without the opening of a special token.
 _LETTERS = rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])"
 _SIMPLE = re.compile(rb"(?:(?!<\|)[!-&(-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+_WORD = re.compile(rb"%b+" % _LETTERS)
 _PIECES = re.compile(rb"%b+|(?:(?!%b)[\x00-\xff])+" % (_LETTERS, _LETTERS))
 
 
@@ -70,36 +72,58 @@ class Encoder:
     letters and other characters, and the ids of short chunks and pieces are remembered.
     """
 
-    def __init__(self, path: str, remembered: int = 300_000):
+    def __init__(self, path: str, remembered: int = 400_000):
         self.path, self.remembered = path, remembered
         self.chunks: dict[bytes, bytes] = {}
         self.pieces: dict[bytes, bytes] = {}
 
     def __call__(self, text: bytes) -> bytes:
         chunks, known = text.split(), self.chunks
-        try:
-            return b"".join([known[c] for c in chunks])
-        except KeyError:
-            pass
-        here = self._encode([c for c in dict.fromkeys(chunks) if c not in known])
-        joined = b"".join([here[c] if c in here else known[c] for c in chunks])
-        if len(known) + len(here) > self.remembered:
-            known.clear()
-        known.update((c, ids) for c, ids in here.items() if len(c) <= 48)
-        return joined
+        ids = list(map(known.get, chunks))
+        if None in ids:
+            gaps = [k for k, v in enumerate(ids) if v is None]
+            here = self._encode(list(dict.fromkeys([chunks[k] for k in gaps])))
+            for k in gaps:
+                ids[k] = here[chunks[k]]
+            if len(known) + len(here) > self.remembered:
+                known.clear()
+            known.update((c, v) for c, v in here.items() if len(c) <= 48)
+        return b"".join(ids)
 
     def _encode(self, chunks: list[bytes]) -> dict[bytes, bytes]:
         cut = {}
         for c in chunks:
             low = c.lower()
-            cut[c] = _PIECES.findall(low) if _SIMPLE.fullmatch(low) else [c]
+            if low.isalpha():
+                cut[c] = [low]
+            elif low[:-1].isalpha() and low[-1] in b".,;:!?":
+                cut[c] = [low[:-1], low[-1:]]
+            else:
+                cut[c] = _PIECES.findall(low) if _SIMPLE.fullmatch(low) else [c]
         pieces = self.pieces
         new = [p for p in dict.fromkeys(p for ps in cut.values() for p in ps) if p not in pieces]
         if len(pieces) + len(new) > 2 * self.remembered:
             pieces.clear()
             new = list(dict.fromkeys(p for ps in cut.values() for p in ps))
-        encoded = _tokenizer(self.path).encode_batch([p.decode("utf-8", "replace") for p in new], add_special_tokens=False)
-        fresh = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, encoded)}
+        tokenizer = _tokenizer(self.path)
+        # neither normaliser nor splitter changes a run of ASCII small letters: straight to the merges
+        merges, fresh, lettered, other = tokenizer.model.tokenize, {}, [], []
+        for p in new:
+            if p.isalpha() and p.islower():
+                fresh[p] = array("I", [t.id for t in merges(p.decode())]).tobytes()
+            elif _WORD.fullmatch(p):
+                lettered.append(p)
+            else:
+                other.append(p)
+        if lettered:  # one splitter word each, told apart by their numbers
+            found = tokenizer.encode(b" ".join(lettered).decode(), add_special_tokens=False)
+            parts: list[list[int]] = [[] for _ in lettered]
+            for word, token in zip(found.word_ids, found.ids):
+                parts[word].append(token)
+            fresh.update((p, array("I", ids).tobytes()) for p, ids in zip(lettered, parts))
+        if other:
+            encoded = tokenizer.encode_batch([p.decode("utf-8", "replace") for p in other], add_special_tokens=False)
+            fresh.update((p, array("I", e.ids).tobytes()) for p, e in zip(other, encoded))
         out = {c: b"".join([fresh[p] if p in fresh else pieces[p] for p in ps]) for c, ps in cut.items()}
         pieces.update((p, ids) for p, ids in fresh.items() if len(p) <= 48)
         return out
@@ -112,9 +136,14 @@ def encoder_of(path: str) -> Encoder:
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, key: str, text: str) -> bytes:
-    """A zstandard dictionary from the ids of a bounded sample of whole short texts, in digest order."""
+    """A zstandard dictionary from the ids of whole short texts, about SAMPLE_DOCUMENTS of them, drawn by digest."""
     short = docs.select(raw_text(text).alias("text")).where(F.octet_length("text").between(1, SAMPLE_BYTES))
-    sample = short.orderBy(F.xxhash64("text"), "text").limit(SAMPLE_DOCUMENTS).collect()
+    drawn = short.withColumn("draw", F.xxhash64("text"))
+    rows = drawn.count()
+    # the expected number of texts, whatever the table's size; equal texts are drawn once
+    share = min(1.0, SAMPLE_DOCUMENTS / max(rows, 1))
+    sample = drawn.where(F.col("draw") <= int(-(2**63) + share * (2**64 - 1))).dropDuplicates(["draw"]).collect()
+    sample.sort(key=lambda r: r.draw)
     encode, end = encoder_of(tokenizer), np.uint32(end_id).tobytes()
     samples = [encode(bytes(r.text)) + end for r in sample]
     if not samples:
@@ -190,8 +219,12 @@ def write_documents(
             yield record_batch(out, pa.schema([("part", pa.int32()), ("number", pa.int32()), ("file", pa.string()), ("documents", pa.int64()), ("ids", pa.int64())]))
 
     parts = parts_for(text_bytes(docs, text), 32_000_000, 2)
-    packed = docs.select(F.col(key).cast("long").alias("doc_id"), raw_text(text).alias("text")).mapInArrow(
-        encode, "has_id byte, id long, tie long, ids long, frame binary"
+    # stored, as finding the range bounds would otherwise encode every text a second time
+    packed = stored(
+        docs.select(F.col(key).cast("long").alias("doc_id"), raw_text(text).alias("text")).mapInArrow(
+            encode, "has_id byte, id long, tie long, ids long, frame binary"
+        ),
+        "token-frames",
     )
     ordered = packed.repartitionByRange(parts, "has_id", "id", "tie").sortWithinPartitions("has_id", "id", "tie")
     manifest = ordered.mapInArrow(write, "part int, number int, file string, documents long, ids long")
