@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collision_ann, curriculum, language_id, near_dedup, ppm, substring_dedup, suffix_dedup, token_store
+from . import collision_ann, curriculum, language_id, license_scan, near_dedup, ppm, substring_dedup, suffix_dedup, token_store
 from .shared import remainder_of_id, table
 
 #: Vocabulary file of the token store, as ``public_tokenizers`` names it.
@@ -24,6 +24,10 @@ def op1_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeat_digests(table(spark, sf_dir, "documents"))
 
@@ -100,6 +104,7 @@ def op10_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ppm_score": op1_ppm_score,
+    "op2_license_scan": op2_license_scan,
     "op3_suffix_array": op3_suffix_array,
     "op5_near_dedup": op5_near_dedup,
     "op6_mix_curriculum": op6_mix_curriculum,
