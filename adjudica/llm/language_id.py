@@ -3,7 +3,7 @@
 Character 1- to 3-grams of the lower-cased text are hashed into ``FEATURES`` columns.
 Document frequencies come from every training document; the weights are fitted with
 follow-the-regularised-leader and elastic-net penalties on a bounded sample per language
-(``per_language`` documents in digest order), one fifth of which sets the temperature.
+(about ``per_language`` documents, drawn by digest), one fifth of which sets the temperature.
 The model is a matrix of FEATURES x languages, which bounds what tasks receive.
 
 Defined results: ``und`` with score 0 for a null text or one without a letter, and for all
@@ -18,10 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batches_of, raw_text, remainder_of_id
+from .shared import batches_of, draw_bound, raw_text, remainder_of_id
 
 FEATURES = 1 << 14
 _MULTIPLIERS = np.array([2654435761, 2246822519, 3266489917], np.uint32)
@@ -154,15 +154,15 @@ def fit(
     ).where("use and lang is not null and text is not null")
     total, df = document_frequencies(rows.select(raw_text("text").alias("text")))
     idf = np.log((1.0 + total) / (1.0 + df)) + 1.0
-    # the digest that ends each language's sample: found without moving any text
+    # draws below a bound per language: about per_language rows each, whatever the table's size
     usable = rows.where((F.octet_length("text") <= sample_bytes) & F.col("text").rlike(r"\p{L}"))
     usable = usable.withColumn("draw", F.xxhash64(F.lit("language"), "id", "text"))
-    order = Window.partitionBy("lang").orderBy("draw")
-    cuts = (
-        usable.select("lang", "draw").withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
-        .groupBy("lang").agg(F.max("draw").alias("cut"))
-    )
-    sample = usable.join(F.broadcast(cuts), "lang").where("draw <= cut").select("lang", "draw", "text").distinct().collect()
+    counts = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    drawn = F.lit(False)
+    for name, n in counts.items():
+        bound = draw_bound(per_language / n)
+        drawn = drawn | ((F.col("lang") == name) & (F.col("draw") <= bound))
+    sample = usable.where(drawn).select("lang", "draw", "text").distinct().collect()
     sample.sort(key=lambda r: (r.draw, r.lang, r.text))
     languages = tuple(sorted({r.lang for r in sample}))
     at = {name: i for i, name in enumerate(languages)}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collision_ann, curriculum, language_id, license_scan, near_dedup, ppm, substring_dedup, suffix_dedup, token_store
+from . import collision_ann, curriculum, decontaminate, language_id, license_scan, near_dedup, ppm, substring_dedup, suffix_dedup, token_store
 from .shared import remainder_of_id, table
 
 #: Vocabulary file of the token store, as ``public_tokenizers`` names it.
@@ -32,6 +32,10 @@ def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeat_digests(table(spark, sf_dir, "documents"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -106,6 +110,7 @@ QUERIES = {
     "op1_ppm_score": op1_ppm_score,
     "op2_license_scan": op2_license_scan,
     "op3_suffix_array": op3_suffix_array,
+    "op4_decontaminate": op4_decontaminate,
     "op5_near_dedup": op5_near_dedup,
     "op6_mix_curriculum": op6_mix_curriculum,
     "op7_suffix_tree": op7_suffix_tree,

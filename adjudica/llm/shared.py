@@ -124,3 +124,8 @@ def running_total(df: DataFrame, by: list[str], order: list[str], value: str, bu
     inner = Window.partitionBy(*by, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     joined = df.alias("l").join(ahead.alias("r"), condition).select("l.*", "r._ahead")
     return joined.withColumn(name, F.col("_ahead") + F.coalesce(F.sum(value).over(inner), F.lit(0))).drop("_ahead")
+
+
+def draw_bound(share: float) -> int:
+    """The 64-bit number that this share of all draws by hash does not exceed."""
+    return min(2**63 - 1, int(-(2**63) + min(1.0, share) * 2**64))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from .shared import batches_of, parts_for, raw_text, record_batch, stored, text_bytes
+from .shared import batches_of, draw_bound, parts_for, raw_text, record_batch, stored, text_bytes
 
 MAGIC = b"TIDS"
 _HEAD = "<4sB32s"
@@ -141,8 +141,8 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, key: str, tex
     drawn = short.withColumn("draw", F.xxhash64("text"))
     rows = drawn.count()
     # the expected number of texts, whatever the table's size; equal texts are drawn once
-    share = min(1.0, SAMPLE_DOCUMENTS / max(rows, 1))
-    sample = drawn.where(F.col("draw") <= int(-(2**63) + share * (2**64 - 1))).dropDuplicates(["draw"]).collect()
+    bound = draw_bound(SAMPLE_DOCUMENTS / max(rows, 1))
+    sample = drawn.where(F.col("draw") <= bound).dropDuplicates(["draw"]).collect()
     sample.sort(key=lambda r: r.draw)
     encode, end = encoder_of(tokenizer), np.uint32(end_id).tobytes()
     samples = [encode(bytes(r.text)) + end for r in sample]
