@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adjudica.llm import curriculum, language_id, token_store
+from adjudica.llm import curriculum, decontaminate, language_id, near_dedup, token_store
 from adjudica.llm.queries import tokenizer_path
 from adjudica.llm.shared import stored, table
 
@@ -14,6 +14,16 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return language_id.keep_identified(docs)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest id."""
+    return near_dedup.keep_one_of_each(docs)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no test item is found."""
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, in training order."""
     return curriculum.in_training_order(docs)
@@ -27,6 +37,8 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [
     ("language_id", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("benchmark", drop_benchmark_leaks),
     ("mix", mix_sources),
     ("tokens", write_tokens),
 ]
