@@ -243,7 +243,7 @@ def without_leaks(
 ) -> DataFrame:
     """The documents, with all their columns, in which no item is found."""
     names = docs.columns
-    kept = docs.withColumnsRenamed({c: f"c{i}" for i, c in enumerate(names)})
+    kept = docs.toDF(*[f"c{i}" for i in range(len(names))])
     body = f"c{names.index(text)}"
     for index, stride in indexes(docs, benchmark, threshold, text, item_key, item_text):
 
@@ -253,4 +253,4 @@ def without_leaks(
                 yield batch.filter(pa.array(clean, pa.bool_())).drop_columns(["_bytes"])
 
         kept = kept.withColumn("_bytes", raw_text(body)).mapInArrow(run, kept.schema)
-    return kept.withColumnsRenamed({f"c{i}": c for i, c in enumerate(names)})
+    return kept.toDF(*names)

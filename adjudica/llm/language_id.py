@@ -209,8 +209,8 @@ def keep_identified(docs: DataFrame, min_score: float = 0.4, key: str = "doc_id"
     held_out = remainder_of_id(key, 4) == 2
     model = fit(docs, ~held_out, key=key, text=text, lang=lang)
     columns = docs.columns
-    rows = docs.withColumnsRenamed({c: f"c{i}" for i, c in enumerate(columns)})
+    rows = docs.toDF(*[f"c{i}" for i in range(len(columns))])
     position = {c: f"c{i}" for i, c in enumerate(columns)}
     scored = predict(rows, model, position[key], position[text], keep=tuple(position.values()))
     kept = scored.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
-    return kept.select(*[F.col(position[c]).alias(c) for c in columns])
+    return kept.select(*position.values()).toDF(*columns)

@@ -114,8 +114,8 @@ def scan(
     rows = rows.select("doc_id", "body", F.size("lowered").cast("long").alias("n_words"), exact.alias("words"))
     found = [F.when(F.array_contains("words", p.split()[0]), places(F.col("words"), p)).otherwise(F.array().cast("array<int>")) for p, _ in phrases]
     rows = rows.withColumns({f"p{i}": f for i, f in enumerate(found)})
-    every = F.concat(*[F.col(f"p{i}") for i in range(len(phrases))])
-    base = F.array_distinct(F.concat(*[F.when(F.size(f"p{i}") > 0, F.array(F.lit(label))).otherwise(none) for i, (_, label) in enumerate(phrases)]))
+    every = F.concat(F.array().cast("array<int>"), *[F.col(f"p{i}") for i in range(len(phrases))])
+    base = F.array_distinct(F.concat(none, *[F.when(F.size(f"p{i}") > 0, F.array(F.lit(label))).otherwise(none) for i, (_, label) in enumerate(phrases)]))
     starts = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.array_contains(_strings(openers), F.get(F.col("words"), i)))
     halves = F.flatten(F.transform(starts, lambda i: F.array(F.floor(i / stride), F.floor(i / stride) - 1)))
     block_numbers = F.filter(F.array_distinct(halves), lambda b: b >= 0)
