@@ -21,6 +21,15 @@ def hash_key(key: Column, seed: int | str) -> Column:
     return F.md5(F.concat(key.cast("string"), F.lit(f"|{seed}")))
 
 
+def row_digest(*columns: Column) -> tuple[Column, Column]:
+    """128 bits that identify the values of some columns, nulls included, as two longs.
+
+    Fixed-width keys: grouping by them hashes, and long texts stay out of the shuffle.
+    """
+    gaps = [c.isNull() for c in columns]
+    return F.xxhash64(*columns, *gaps), F.xxhash64(F.lit("second"), *columns, *gaps)
+
+
 def uniform(key: Column, purpose: str, seed: int | str) -> Column:
     """Uniform draw in [0, 1) for this key and purpose."""
     digest = hash_key(key, f"{purpose}|{seed}")

@@ -32,7 +32,7 @@ def _generate(spark: SparkSession, args) -> int:
 def _flow(spark: SparkSession, args) -> int:
     out = stages.run_flow(_read(spark, args.raw), args.workspace)
     shown = " ".join(f"{k}={v}" for k, v in out["metrics"].items())
-    print(f"best_model={out['best_model']} {shown}")
+    print(f"selected {out['best_model']}: {shown}")
     return 0
 
 
@@ -40,7 +40,7 @@ def _drift(spark: SparkSession, args) -> int:
     current = _read(spark, args.current)
     report = stages.check_drift(spark, args.profile, current, report_path=args.report)
     row = report.select("status", "max_psi").first()
-    print(f"status={row.status} max_psi={row.max_psi}")
+    print(f"drift {row.status}, largest index {row.max_psi}")
     return 1 if args.fail_on_alert and row.status == "alert" else 0
 
 
@@ -49,7 +49,7 @@ def _rewrite(spark: SparkSession, args) -> int:
     source = {name: tables.read_parquet(spark, args.table)}
     out, report = rewrite_tables(source, {name: args.column}, args.name, args.dry_run)
     for r in report.collect():  # one row per column
-        print(f"{'would update' if args.dry_run else 'updated'} {r.rows_changed} rows in {r.location}")
+        print(f"{r.location}: {r.rows_changed} paths {'to cut' if args.dry_run else 'cut'}")
     if not args.dry_run:
         tables.write_parquet(out[name], args.out)
     return 0

@@ -125,11 +125,13 @@ def batch_size_violation(batch: Column, maximum: int = MAX_BATCH) -> Column:
     )
 
 
-def explode_batches(df: DataFrame, request: str, batch: str, maximum: int = MAX_BATCH) -> DataFrame:
-    """One row (request, position, record) per record of the admitted requests."""
-    return df.where(batch_size_violation(F.col(batch), maximum).isNull()).select(
-        request, F.posexplode(batch).alias("position", "record")
-    )
+def explode_batches(
+    df: DataFrame, request: str, batch: str, maximum: int = MAX_BATCH
+) -> tuple[DataFrame, DataFrame]:
+    """((request, position, record) of the admitted requests, rejected requests with ``violation``)."""
+    violation = batch_size_violation(F.col(batch), maximum)
+    admitted = df.where(violation.isNull()).select(request, F.posexplode(batch).alias("position", "record"))
+    return admitted, df.where(violation.isNotNull()).withColumn("violation", violation)
 
 
 def rollup_batches(scored: DataFrame, request: str, prediction: str = "prediction") -> DataFrame:

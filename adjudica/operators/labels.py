@@ -7,12 +7,21 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 # Accepted spellings of the two label classes.
 TARGET_MAP = {"Y": 1, "N": 0, "y": 1, "n": 0, "1": 1, "0": 0}
 
 
 class UnknownLabels(ValueError):
-    """The label column holds values outside the accepted spellings."""
+    """The label column holds values outside the accepted spellings.
+
+    ``table`` has every such value with its rows; the message names the most frequent.
+    """
+
+    def __init__(self, message: str, table: DataFrame):
+        super().__init__(message)
+        self.table = table
 
 
 def encoded(c: Column, mapping: Mapping[str, int] = TARGET_MAP, numeric: bool = False) -> Column:
@@ -48,12 +57,17 @@ def unknown_labels(df: DataFrame, target: str, mapping: Mapping[str, int] = TARG
 def encode_target(
     df: DataFrame, target: str, mapping: Mapping[str, int] = TARGET_MAP, check: bool = True
 ) -> DataFrame:
-    """Replace the label by 1/0. With ``check``, unknown or null labels raise; the
-    message shows the most frequent ones, ``unknown_labels`` has them all."""
+    """Replace the label by 1/0. With ``check``, unknown or null labels raise; the error
+    says how many values there are and holds the table of all of them."""
     if check:
-        shown = unknown_labels(df, target, mapping).orderBy(F.desc("rows"), "value").limit(20).collect()
-        if shown:
-            raise UnknownLabels(f"Unrecognised target values: {[r.value for r in shown]}")
+        unknown = stored(unknown_labels(df, target, mapping), "unknown-labels")
+        facts = unknown.agg(F.count(F.lit(1)).alias("values"), F.sum("rows").alias("rows")).first()
+        if facts["values"]:
+            frequent = [r.value for r in unknown.orderBy(F.desc("rows"), "value").limit(20).collect()]
+            raise UnknownLabels(
+                f"'{target}' has {facts['values']} values that are no label, in {facts['rows']} rows; most frequent: {frequent}",
+                unknown,
+            )
     return df.withColumn(target, encoded(F.col(target), mapping, _is_numeric(df, target)))
 
 

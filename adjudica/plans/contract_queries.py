@@ -57,32 +57,32 @@ def report_rows(report):
     odd AS (SELECT v FROM seen WHERE v NOT IN ('AUTOMOBILE', 'FURNITURE', 'HOUSEHOLD')),
     dup AS (SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM src)) AS d FROM src)
     SELECT '-' AS "column", 'min_rows' AS "check", n::DOUBLE AS observed_value, NULL::VARCHAR AS observed_text,
-      n >= 2000000000 AS ok, 'only ' || n || ' rows, expected at least 2000000000' AS message FROM n
+      n >= 2000000000 AS ok, n || ' rows, 2000000000 or more are needed' AS message FROM n
     UNION ALL SELECT '-', 'columns', 4, NULL, true, NULL
     UNION ALL SELECT '-', 'duplicate_rows', d, NULL, true, NULL FROM dup
     UNION ALL SELECT 'c_acctbal', 'missing_fraction', round(n1 / n, 4), NULL, true, NULL FROM n
     UNION ALL SELECT 'c_acctbal', 'nulls', n1, NULL, true, NULL FROM n
     UNION ALL SELECT 'c_acctbal', 'non_numeric', 0, NULL, true, NULL
     UNION ALL SELECT 'c_acctbal', 'minimum', round(lo, 4), NULL, lo >= 0,
-      CASE WHEN lo < 0 THEN '''c_acctbal'' below minimum 0' END FROM n
+      CASE WHEN lo < 0 THEN '''c_acctbal'': smallest value is under 0' END FROM n
     UNION ALL SELECT 'c_acctbal', 'maximum', round(hi, 4), NULL, hi <= 9000,
-      CASE WHEN hi > 9000 THEN '''c_acctbal'' above maximum 9000' END FROM n
+      CASE WHEN hi > 9000 THEN '''c_acctbal'': largest value is over 9000' END FROM n
     UNION ALL SELECT 'c_acctbal', 'mean', round(mean, 4), NULL, true, NULL FROM n
     UNION ALL SELECT 'segment', 'missing_fraction', round(n2 / n, 4), NULL, n2 / n <= 0.15,
-      CASE WHEN n2 / n > 0.15 THEN printf('''segment'' is %.1f%% null (limit 15%%)', 100 * n2 / n) END FROM n
-    UNION ALL SELECT 'segment', 'observed_values', NULL,
-      (SELECT '[' || string_agg('''' || v || '''', ', ' ORDER BY v) || ']' FROM seen), true, NULL
+      CASE WHEN n2 / n > 0.15 THEN printf('''segment'': %.1f%% of the values are missing, at most 15%% may be', 100 * n2 / n) END FROM n
+    UNION ALL SELECT 'segment', 'observed_values', (SELECT count(*) FROM seen), NULL, true, NULL
     UNION ALL SELECT 'segment', 'unexpected_values', (SELECT count(*) FROM odd), NULL, (SELECT count(*) = 0 FROM odd),
-      (SELECT '''segment'' has unexpected categories [' || string_agg('''' || v || '''', ', ' ORDER BY v) || ']' FROM odd)
+      (SELECT '''segment'': ' || count(*) || ' values are not allowed' FROM odd HAVING count(*) > 0)
+    UNION ALL SELECT 'segment', 'unexpected_value', NULL, v, false, '''segment'': ''' || v || ''' is not allowed' FROM odd
     UNION ALL SELECT 'balance_gap', 'missing_fraction', round(n3 / n, 4), NULL, n3 / n <= 0.15,
-      CASE WHEN n3 / n > 0.15 THEN printf('''balance_gap'' is %.1f%% null (limit 15%%)', 100 * n3 / n) END FROM n
+      CASE WHEN n3 / n > 0.15 THEN printf('''balance_gap'': %.1f%% of the values are missing, at most 15%% may be', 100 * n3 / n) END FROM n
     UNION ALL SELECT 'balance_gap', 'nulls', n3, NULL, n3 = 0,
-      CASE WHEN n3 > 0 THEN '''balance_gap'' contains nulls but is declared non-nullable' END FROM n
+      CASE WHEN n3 > 0 THEN '''balance_gap'': nulls are not allowed' END FROM n
     UNION ALL SELECT 'balance_gap', 'non_numeric', 0, NULL, true, NULL
     UNION ALL SELECT 'balance_gap', 'minimum', round(lo3, 4), NULL, true, NULL FROM n
     UNION ALL SELECT 'balance_gap', 'maximum', round(hi3, 4), NULL, true, NULL FROM n
     UNION ALL SELECT 'balance_gap', 'mean', round(mean3, 4), NULL, true, NULL FROM n
-    UNION ALL SELECT 'c_phone', 'present', NULL, 'absent', false, 'missing required column ''c_phone'''
+    UNION ALL SELECT 'c_phone', 'present', NULL, 'absent', false, '''c_phone'': required, but absent'
     """,
 )
 def contract_report(spark, sf):
@@ -101,13 +101,13 @@ _TARGETS = """
     n AS (SELECT dataset, count(*) FILTER (y IS NULL) AS nulls,
       count(*) FILTER (y IS NOT NULL AND y NOT IN (0, 1)) AS bad, avg(y) AS rate FROM src GROUP BY 1)
     SELECT dataset, 'target_nulls' AS "check", nulls::DOUBLE AS observed_value, nulls = 0 AS ok,
-      CASE WHEN nulls > 0 THEN 'target column contains nulls' END AS message FROM n
+      CASE WHEN nulls > 0 THEN 'label has nulls' END AS message FROM n
     UNION ALL SELECT dataset, 'target_values', bad, bad = 0,
-      CASE WHEN bad > 0 THEN 'target column must be 0/1' END FROM n
+      CASE WHEN bad > 0 THEN 'label has values besides 0 and 1' END FROM n
     UNION ALL SELECT dataset, 'positive_rate', CASE WHEN bad = 0 THEN round(rate, 4) END,
       bad > 0 OR rate BETWEEN 0.25 AND 0.75,
       CASE WHEN bad = 0 AND rate NOT BETWEEN 0.25 AND 0.75
-        THEN printf('target positive rate %.2f%% outside [25%%, 75%%]', rate * 100) END FROM n"""
+        THEN printf('share of positive labels %.2f%% is outside of [25%%, 75%%]', rate * 100) END FROM n"""
 
 
 @query("contract_target", _TARGETS)
@@ -246,11 +246,26 @@ def violation_counts(spark, sf):
 )
 def batch_explode_rollup(spark, sf):
     """Each vector is a request of records: explode, decide, roll up per request."""
-    rows = admission.explode_batches(table(spark, sf, "embeddings"), "vec_id", "embedding")
+    rows, _ = admission.explode_batches(table(spark, sf, "embeddings"), "vec_id", "embedding")
     decided = rows.withColumn("prediction", (F.col("record").cast("double") >= 0.05).cast("int"))
     return admission.rollup_batches(decided, "vec_id")
 
 
+@query(
+    "batch_rejected",
+    """
+    WITH b AS (SELECT user_id, count(*) FILTER (event_type = 'purchase') AS n FROM events GROUP BY 1)
+    SELECT user_id, CASE WHEN n < 1 THEN 'batch: at least 1 record' ELSE 'batch: at most 1 records' END AS violation
+    FROM b WHERE n < 1 OR n > 1
+    """,
+)
+def batch_rejected(spark, sf):
+    """Each user's purchases as a request of at most one record: those refused, with the reason."""
+    bought = F.when(F.col("event_type") == "purchase", F.col("event_id"))
+    requests = table(spark, sf, "events").groupBy("user_id").agg(F.collect_list(bought).alias("batch"))
+    return admission.explode_batches(requests, "user_id", "batch", 1)[1].select("user_id", "violation")
+
+
 @query(
     "response_bounds",
     """

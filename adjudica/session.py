@@ -60,6 +60,14 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return os.path.join(work_root(spark), f"{purpose}-{uuid.uuid4().hex}")
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write an intermediate table below the shared root and read it again: its lineage is
+    cut there, and its size is known to the planner."""
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A frame of fitted values. Arrow input becomes a local relation: no job runs to
     read it, and the planner knows how small it is."""

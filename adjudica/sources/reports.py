@@ -41,7 +41,10 @@ def write_report(df: DataFrame, path: str, lines: bool = False) -> None:
     if lines:
         report_json(df, pretty=False).write.mode("overwrite").text(path)
     else:
-        report_json(df).limit(1).coalesce(1).write.mode("overwrite").text(path)
+        documents = report_json(df).limit(2).collect()
+        if len(documents) > 1:
+            raise ValueError("a frame of several rows is not one document: write it with lines=True")
+        df.sparkSession.createDataFrame(documents, "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def read_report(

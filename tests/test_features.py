@@ -91,6 +91,13 @@ def test_unknown_labels_raise(spark, bad):
         labels.encode_target(df, "t")
 
 
+def test_all_unknown_labels_are_kept(spark):
+    df = spark.range(50).select(F.concat(F.lit("odd"), "id").alias("t"))
+    with pytest.raises(labels.UnknownLabels, match="50 values") as raised:
+        labels.encode_target(df, "t")
+    assert raised.value.table.count() == 50
+
+
 def test_decisions(spark):
     df = spark.createDataFrame([(0.5,), (0.4999999,), (0.9,)], "p double")
     out = labels.decision_columns(df, "p", 0.5, "m", "abcdefghij").collect()

@@ -20,7 +20,7 @@ def test_csv_gaps_types_and_dependents(spark, tmp_path):
 
 def test_missing_source(spark, tmp_path):
     for read in (lambda p: tables.read_csv(spark, p, StructType()), lambda p: tables.read_parquet(spark, p)):
-        with pytest.raises(FileNotFoundError, match="Raw data not found"):
+        with pytest.raises(FileNotFoundError, match="nothing to read"):
             read(str(tmp_path / "none"))
 
 
