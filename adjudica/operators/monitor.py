@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+
+from ..session import stored
 from pyspark.sql.types import TimestampNTZType
 
 # Bucket bounds, alert limits and the denominator guard.
@@ -123,35 +125,62 @@ def quantiles_of(wide: DataFrame, bounds: Sequence[float], probs: Mapping[str, f
 # --- trailing windows on an evaluation grid ----------------------------------
 
 
+#: Shortest stretch of the time axis that one task evaluates, in seconds.
+CHUNK = 7 * 24 * 3600
+
+
+def _chunk_seconds(step: int, width: int = 0) -> int:
+    """Chunks are whole steps and at least as long as a trailing window."""
+    return -(-max(CHUNK, width) // step) * step
+
+
+def _same(keys: Sequence[str], *others: str) -> Column:
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
+    for c in others:
+        condition = condition & (F.col(f"l.{c}") == F.col(f"r.{c}"))
+    return condition
+
+
 def on_grid(
-    part: DataFrame, step: int, keys: Sequence[str], values: Sequence[str], idle: float | None = 0
+    part: DataFrame,
+    step: int,
+    keys: Sequence[str],
+    values: Sequence[str],
+    idle: float | None = 0,
+    width: int = 0,
+    interval: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Partials on every step between the table's first and last slot, per series; idle
-    steps carry ``idle``. The size is series x (time span / step).
+    """Partials on every step of the evaluation interval, per series, with ``__chunk``; idle
+    steps carry ``idle``. The size is series x (interval / step).
 
-    Each row is expanded over the idle steps up to its successor, so the grid needs
-    neither a generated time table nor a join with it.
+    ``interval`` (first and last slot) defaults to that of the data; giving it keeps a
+    stray timestamp from stretching the grid. Chunks of the time axis are laid out first, each
+    fills in its own steps: no task holds a whole series.
     """
-    order = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("slot")
-    rows = part.withColumns(
-        {"__next": F.lead("slot").over(order), "__first": F.lag("slot").over(order).isNull()}
-    )
+    spark, length = part.sparkSession, _chunk_seconds(step, width)
+    part = stored(part.select(*keys, "slot", *values), "partials")
+    if interval is None:
+        span = part.agg(F.min("slot"), F.max("slot")).first()
+        interval = (span[0], span[1]) if span[0] is not None else (0, -step)
+    lo, hi = interval[0] // step * step, interval[1] // step * step
+    first, last = lo // length, hi // length
     if keys:
-        # reading every value keeps this branch equal to the main one: the shuffled
-        # partials are reused instead of being counted twice
-        span = F.struct(F.min("slot").alias("lo"), F.max("slot").alias("hi"), *[F.max(v).alias(v) for v in values])
-        rows = rows.withColumn("__span", part.agg(span.alias("s")).scalar())
-        lo, hi = F.col("__span.lo"), F.col("__span.hi")
+        chunks = F.sequence(F.lit(first), F.lit(last)) if last >= first else F.array()
+        layout = part.select(*keys).distinct().withColumn("__chunk", F.explode(chunks.cast("array<bigint>")))
     else:
-        lo = hi = F.col("slot")
-    start = F.when(F.col("__first"), lo).otherwise(F.col("slot"))
-    stop = F.coalesce(F.col("__next") - step, hi)
-    expanded = rows.withColumn("__at", F.explode(F.sequence(start, stop, F.lit(step).cast("long"))))
-    here = F.col("__at") == F.col("slot")
-    return expanded.select(
-        *keys,
-        F.col("__at").alias("slot"),
-        *[F.when(here, F.col(v)).otherwise(F.lit(idle)).alias(v) for v in values],
+        layout = spark.range(first, last + 1).select(F.col("id").alias("__chunk"))
+    start, stop = F.greatest(F.lit(lo), F.col("__chunk") * length), F.least(F.lit(hi), (F.col("__chunk") + 1) * length - step)
+    slots = F.when(stop >= start, F.sequence(start, stop, F.lit(step).cast("long")))
+    grid = layout.withColumn("slot", F.explode(slots)).alias("l")
+    found = grid.join(part.alias("r"), _same(keys, "slot"), "left")
+    here = F.col("r.slot").isNotNull()
+    return found.select(
+        *[F.col(f"l.{k}") for k in keys],
+        "l.slot",
+        *[F.when(here, F.col(f"r.{v}")).otherwise(F.lit(idle)).alias(v) for v in values],
+        "l.__chunk",
     )
 
 
@@ -162,18 +191,24 @@ def trailing_sums(
     keys: Sequence[str],
     values: Sequence[str],
     grid: bool = True,
+    interval: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Replace each value by its sum over (slot end - width, slot end].
 
-    With ``grid`` idle steps are evaluated too; otherwise only slots with events.
+    With ``grid`` idle steps are evaluated too; otherwise only slots with events. A
+    chunk of the time axis also gets the rows of one window width before it.
     """
-    rows = on_grid(part, step, keys, values) if grid else part
-    window = (
-        Window.partitionBy(*(keys or [F.lit(0)]))
-        .orderBy("slot")
-        .rangeBetween(-(width - step), 0)
-    )
-    return rows.withColumns({v: F.sum(v).over(window) for v in values})
+    length = _chunk_seconds(step, width)
+    if grid:
+        rows = on_grid(part, step, keys, values, width=width, interval=interval)
+    else:
+        rows = part.select(*keys, "slot", *values).withColumn("__chunk", F.floor(F.col("slot") / length).cast("long"))
+    late = F.col("slot") >= (F.col("__chunk") + 1) * length - (width - step)
+    chunks = F.when(late, F.array(F.col("__chunk"), F.col("__chunk") + 1)).otherwise(F.array("__chunk"))
+    both = rows.select(*keys, "slot", *values, F.col("__chunk").alias("__own"), F.explode(chunks).alias("__chunk"))
+    window = Window.partitionBy(*keys, "__chunk").orderBy("slot").rangeBetween(-(width - step), 0)
+    summed = both.withColumns({v: F.sum(v).over(window) for v in values})
+    return summed.where("__own = __chunk").drop("__own", "__chunk")
 
 
 def guarded_ratio(num: Column, den: Column, width: int, min_rate: float = MIN_RATE) -> Column:
@@ -248,23 +283,52 @@ def holds_for(
 ) -> DataFrame:
     """Add ``pending``, ``active_since`` and ``firing``.
 
-    A condition fires once it held at every evaluation for ``duration`` seconds.
-    Islands of consecutive true evaluations come from a running count of the false
-    ones; rows are evaluation points, so a series is as long as its time span.
+    A condition fires once it held at every evaluation for ``duration`` seconds. An
+    episode begins at the evaluation after the last false one. Chunks of the time axis are
+    judged apart; a summary row per chunk carries that evaluation into the next ones.
     """
-    order = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(slot)
-    flagged = df.withColumn("pending", F.coalesce(condition, F.lit(False)))
-    island = F.sum((~F.col("pending")).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    run = Window.partitionBy(*(keys or []), "__island")
+    keys = list(keys)
+    flagged = df.withColumn("pending", F.coalesce(condition, F.lit(False))).withColumn(
+        "__chunk", F.floor(F.col(slot) / CHUNK).cast("long")
+    )
+    order = Window.partitionBy(*keys, "__chunk").orderBy(slot)
+    marked = flagged.withColumn("__after", F.lead(slot).over(order))
+    stop = F.when(~F.col("pending"), F.struct(F.col(slot).alias("at"), F.col("__after").alias("after")))
+    marked = marked.withColumn("__stop", F.max(stop).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    chunks = marked.groupBy(*keys, "__chunk").agg(F.min(slot).alias("first"), F.max(stop).alias("stop"))
+    series = Window.partitionBy(*keys).orderBy("__chunk")
+    ended = F.when(F.col("stop").isNotNull(), F.coalesce("stop.after", F.lead("first").over(series)))
+    chunks = chunks.withColumn("ended", ended)
+    chunks = chunks.select(
+        *keys,
+        "__chunk",
+        F.coalesce(
+            F.last("ended", ignorenulls=True).over(series.rowsBetween(Window.unboundedPreceding, -1)),
+            F.min("first").over(Window.partitionBy(*keys)),
+        ).alias("since"),
+    )
+    joined = marked.alias("l").join(chunks.alias("r"), _same(keys, "__chunk")).select("l.*", F.col("r.since").alias("__since"))
+    since = F.when(F.col("__stop").isNotNull(), F.col("__stop.after")).otherwise(F.col("__since"))
     return (
-        flagged.withColumn("__island", island)
-        .withColumn("active_since", F.min(F.when(F.col("pending"), F.col(slot))).over(run))
-        .withColumn("active_since", F.when(F.col("pending"), F.col("active_since")))
+        joined.withColumn("active_since", F.when(F.col("pending"), since))
         .withColumn("firing", F.col("pending") & (F.col(slot) - F.col("active_since") >= duration))
-        .drop("__island")
+        .drop("__chunk", "__after", "__stop", "__since")
     )
 
 
+def carried_forward(rows: DataFrame, value: str, keys: Sequence[str], slot: str = "slot") -> DataFrame:
+    """Fill missing values by the last one before, chunk by chunk of the time axis."""
+    keys = list(keys)
+    chunked = rows.withColumn("__chunk", F.floor(F.col(slot) / CHUNK).cast("long"))
+    inside = Window.partitionBy(*keys, "__chunk").orderBy(slot).rowsBetween(Window.unboundedPreceding, 0)
+    lasts = chunked.groupBy(*keys, "__chunk").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(slot))).alias("last"))
+    before = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    lasts = lasts.withColumn("last", F.last("last", ignorenulls=True).over(before))
+    joined = chunked.alias("l").join(lasts.alias("r"), _same(keys, "__chunk")).select("l.*", F.col("r.last").alias("__carried"))
+    filled = F.coalesce(F.last(value, ignorenulls=True).over(inside), F.col("__carried"))
+    return joined.withColumn(value, filled).drop("__chunk", "__carried")
+
+
 def alert_intervals(firing: DataFrame, keys: Sequence[str] = (), slot: str = "slot") -> DataFrame:
     """(keys..., active_since, fired_at, last_at, evaluations) per firing episode."""
     return (
@@ -318,11 +382,12 @@ def no_traffic_alert(df, ts, step=MINUTE, width=15 * MINUTE, duration=15 * MINUT
     return holds_for(trailing_sums(part, step, width, keys, ["n"]), F.col("n") == 0, duration, keys)
 
 
-def gauge_alert(df, ts, value, instance, duration, step=MINUTE, equals: float = 0.0) -> DataFrame:
+def gauge_alert(df, ts, value, instance, duration, step=MINUTE, equals: float = 0.0, tie: str | None = None) -> DataFrame:
     """The gauge of an instance reads ``equals`` for the duration: last reading per
-    step, carried forward over steps without a reading."""
-    part = partials(df, ts, step, {"value": F.max_by(value, ts)}, [instance])
-    grid = on_grid(part, step, [instance], ["value"], idle=None)
-    carry = Window.partitionBy(instance).orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
-    filled = grid.withColumn("value", F.last("value", ignorenulls=True).over(carry))
+    step, carried forward over steps without a reading. Of readings at one instant the
+    one with the largest ``tie`` is the last, without it the largest reading."""
+    order = F.struct(F.col(ts), F.col(tie or value))
+    part = partials(df, ts, step, {"value": F.max_by(value, order)}, [instance])
+    grid = on_grid(part, step, [instance], ["value"], idle=None).drop("__chunk")
+    filled = carried_forward(grid, "value", [instance])
     return holds_for(filled, F.col("value") == equals, duration, [instance])

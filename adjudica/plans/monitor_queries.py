@@ -283,7 +283,7 @@ def alert_error_burst(spark, sf):
 @query(
     "no_traffic",
     f"""
-    WITH src AS (SELECT *, user_id % 7 AS lane FROM events WHERE value > 120),
+    WITH src AS (SELECT *, user_id % 97 AS lane FROM events),
     part_ AS (SELECT lane, {slot_sql(3600)} AS slot, count(*) AS n FROM src GROUP BY 1, 2),
     grid AS (SELECT lane, slot FROM (SELECT DISTINCT lane FROM part_),
       unnest(range((SELECT min(slot) FROM part_), (SELECT max(slot) FROM part_) + 1, 3600)) AS g(slot)),
@@ -293,9 +293,9 @@ def alert_error_burst(spark, sf):
     """,
 )
 def no_traffic(spark, sf):
-    """Lanes without a large event in the trailing three hours, for four hours."""
-    large = events(spark, sf).where(F.col("value") > 120).withColumn("lane", F.col("user_id") % 7)
-    firing = m.no_traffic_alert(large, "ts", m.HOUR, 3 * m.HOUR, 4 * m.HOUR, ["lane"])
+    """Groups of users without any event in the trailing three hours, for four hours."""
+    lanes = events(spark, sf).withColumn("lane", F.col("user_id") % 97)
+    firing = m.no_traffic_alert(lanes, "ts", m.HOUR, 3 * m.HOUR, 4 * m.HOUR, ["lane"])
     return m.alert_intervals(firing, ["lane"])
 
 
@@ -303,7 +303,7 @@ def no_traffic(spark, sf):
     "alert_gauge_down",
     f"""
     WITH src AS (SELECT user_id % 5 AS inst, ts, event_id, (event_type <> 'error')::INT AS up FROM events),
-    part_ AS (SELECT inst, {slot_sql(3600)} AS slot, arg_max(up, ts) AS up FROM src GROUP BY 1, 2),
+    part_ AS (SELECT inst, {slot_sql(3600)} AS slot, arg_max(up, (ts, event_id)) AS up FROM src GROUP BY 1, 2),
     grid AS (SELECT inst, slot FROM (SELECT DISTINCT inst FROM part_),
       unnest(range((SELECT min(slot) FROM part_), (SELECT max(slot) FROM part_) + 1, 3600)) AS g(slot)),
     roll AS (SELECT inst, slot, last_value(up IGNORE NULLS) OVER (PARTITION BY inst ORDER BY slot) AS up
@@ -314,9 +314,9 @@ def no_traffic(spark, sf):
 def alert_gauge_down(spark, sf):
     """Instances whose last reading of the hour is 0 for two further hours."""
     readings = events(spark, sf).select(
-        (F.col("user_id") % 5).alias("inst"), "ts", (F.col("event_type") != "error").cast("int").alias("up")
+        "event_id", (F.col("user_id") % 5).alias("inst"), "ts", (F.col("event_type") != "error").cast("int").alias("up")
     )
-    firing = m.gauge_alert(readings, "ts", "up", "inst", 2 * m.HOUR, m.HOUR)
+    firing = m.gauge_alert(readings, "ts", "up", "inst", 2 * m.HOUR, m.HOUR, tie="event_id")
     return m.alert_intervals(firing, ["inst"])
 
 

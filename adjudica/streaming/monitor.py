@@ -5,9 +5,8 @@ Append mode: a window is emitted once, when the watermark passes its end.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -96,30 +95,20 @@ def trailing_ratio(
     return sums.withColumn("ratio", guarded_ratio(F.col("hits"), F.col("total"), width))
 
 
-def _first_per_batch(key: Sequence[str]):
-    """Arrow helper: the first row per key of each record batch, in arrival order."""
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = pa.table({**{k: batch.column(k) for k in key}, "__i": pa.array(range(batch.num_rows))})
-            first = rows.group_by(list(key), use_threads=False).aggregate([("__i", "min")])
-            yield batch.take(first.column("__i_min").combine_chunks().sort())
-
-    return keep
-
-
 def dedupe(
-    stream: DataFrame, key: Sequence[str], ts: str, delay: str = "1 hour", combine: bool = True
+    stream: DataFrame, key: Sequence[str], ts: str, delay: str = "1 hour", salts: int = 16
 ) -> DataFrame:
-    """First arrival per key; keys are remembered for the watermark delay.
+    """One row per key; keys are remembered for the watermark delay.
 
-    The stateful operator shuffles every row by its key. ``combine`` drops repeats
-    inside each Arrow batch before that, so a key that fills a third of the stream
-    does not flood one task.
+    Rows later than the watermark are dropped before they can stand for their key. Two
+    stateful steps, first by key and a salt, then by key: of a key that fills a third
+    of the stream, at most ``salts`` rows a batch reach the task that owns the key. The salt is
+    a hash of the row, so that a retried batch repeats it.
     """
-    if combine:
-        stream = stream.mapInArrow(_first_per_batch(list(key)), stream.schema)
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(key))
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in stream.columns]), F.lit(salts))
+    marked = stream.withColumn("__salt", salt).withWatermark(ts, delay)
+    once = marked.dropDuplicatesWithinWatermark([*key, "__salt"])
+    return once.dropDuplicatesWithinWatermark(list(key)).drop("__salt")
 
 
 def drift_counts(
