@@ -27,7 +27,7 @@ from .shared import batches_of, parts_for, raw_text, record_batch, stored
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
 _LOW = np.uint64(0xFFFFFFFF)
-SHARD_BYTES = 6_000_000
+SHARD_BYTES = 2_000_000
 
 
 def run_hashes(units: np.ndarray, k: int) -> np.ndarray:

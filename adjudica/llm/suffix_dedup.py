@@ -91,8 +91,8 @@ def _induce(t: np.ndarray, small: np.ndarray, lms: np.ndarray, sigma: int) -> np
 def _order_names(names: np.ndarray, depth: int | None) -> np.ndarray:
     """Order of the suffixes of a string of names, exact for ``depth`` names (None: entirely)."""
     n = len(names)
-    rank, covered = names.astype(np.int64), 1
-    order = np.argsort(rank, kind="stable")
+    rank, covered = names.astype(np.int32), 1
+    order = np.argsort(rank, kind="stable").astype(np.int32)
     while covered < n and (depth is None or covered < depth):
         sorted_ = rank[order]
         tied = np.empty(n, bool)
@@ -103,13 +103,13 @@ def _order_names(names: np.ndarray, depth: int | None) -> np.ndarray:
         if not len(open_):
             break
         # ranks with gaps: the first index of the class; only tied suffixes are sorted again
-        nxt = np.where(open_ + covered < n, rank[np.minimum(open_ + covered, n - 1)] + 1, 0)
+        nxt = np.where(open_ + covered < n, rank[np.minimum(open_ + covered, n - 1)] + 1, 0).astype(np.int32)
         by = np.lexsort((nxt, rank[open_]))
         open_, nxt = open_[by], nxt[by]
         slots = np.flatnonzero(tied)
         order[slots] = open_
         fresh = np.concatenate(([True], (rank[open_][1:] != rank[open_][:-1]) | (nxt[1:] != nxt[:-1])))
-        base = np.empty(n, np.int64)
+        base = np.empty(n, np.int32)
         base[slots] = np.maximum.accumulate(np.where(fresh, slots, 0))
         rank = rank.copy() if covered == 1 else rank
         rank[open_] = base[slots]
@@ -149,7 +149,7 @@ def suffix_array(t: np.ndarray, sigma: int, depth: int | None = None) -> np.ndar
         active = active[~unequal]
         k += 1
         active = active[la[active] > k]
-    names = np.empty(len(lms), np.int64)
+    names = np.empty(len(lms), np.int32)
     names[nth[sorted_lms]] = np.concatenate(([0], np.cumsum(differ)))
     order = _order_names(names, depth)
     return _induce(t, small, lms[order], sigma)
@@ -162,15 +162,15 @@ def permuted_prefixes(t: np.ndarray, sa: np.ndarray, stop: np.ndarray) -> np.nda
     before; only the others, and the first after a stop, are compared.
     """
     n = len(t)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[sa[1:]] = sa[:-1]
-    at = np.arange(n)
+    at = np.arange(n, dtype=np.int32)
     has = before >= 0
     carried = has & (before > 0) & (at > 0)
     carried[carried] = (t[at[carried] - 1] == t[before[carried] - 1]) & ~stop[at[carried] - 1]
     fresh = ~carried
-    value = np.zeros(n, np.int64)
-    active = np.flatnonzero(fresh & has)
+    value = np.zeros(n, np.int32)
+    active = np.flatnonzero(fresh & has).astype(np.int32)
     k = 0
     while len(active):
         i, j = active + k, before[active] + k
@@ -194,10 +194,11 @@ def repeats_in_shard(texts: list[bytes], counts: np.ndarray, length: int = LENGT
     data[stop] = 0
     sa = suffix_array(data, 257, length)
     common = permuted_prefixes(data, sa, stop)
-    owner = np.repeat(np.arange(len(texts)), sizes + 1)
-    place = np.arange(len(data)) - starts[owner]
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes + 1)
+    place = np.arange(len(data), dtype=np.int32) - starts.astype(np.int32)[owner]
     window = place <= sizes[owner] - length
-    classes = np.cumsum(common[sa] < length)
+    classes = np.cumsum(common[sa] < length, dtype=np.int32)
+    del common
     in_order = window[sa]
     totals = np.bincount(classes[in_order], counts[owner[sa[in_order]]], classes[-1] + 1)
     repeated = np.zeros(len(data), bool)
