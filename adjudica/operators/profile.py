@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import clip, to_number
-from ..session import small_table
+from ..session import stored
 from .quantiles import exact_quantiles, numeric_view
 
-MAX_CLASSES = 1000  # classes a label column may have
 
 
 def head(df: DataFrame, n: int = 5, order_by: Sequence[str] = ()) -> DataFrame:
@@ -171,28 +170,21 @@ def class_histogram(
         .unpivot(["label"], columns, "feature", "v")
         .where(F.col("v").isNotNull() & F.col("label").isNotNull())
     )
-    # read once, so that the size of what is broadcast below is known
-    limit = MAX_CLASSES * len(columns)
-    spans = (
-        long.groupBy("feature", "label")
-        .agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n"))
-        .limit(limit + 1)
-        .collect()
-    )
-    if len(spans) > limit:
-        raise ValueError(f"column '{label}' has too many classes for a histogram each")
+    spans = long.groupBy("feature", "label").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n"))
     # a constant column gets the unit range around its value
-    rows = [
-        (r.feature, str(r.label), r.n, *((r.lo - 0.5, r.hi + 0.5) if r.lo == r.hi else (r.lo, r.hi)))
-        for r in spans
-    ]
-    span = small_table(
-        df.sparkSession, rows, "feature string, label string, n long, lo double, hi double"
-    ).withColumn("label", F.col("label").cast(df.schema[label].dataType))
+    flat = F.col("lo") == F.col("hi")
+    span = stored(
+        spans.select(
+            "feature", "label", "n",
+            F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+            F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
+        ),
+        "histogram-spans",
+    )
     width = (F.col("hi") - F.col("lo")) / bins
     index = F.least(F.lit(bins - 1), F.floor((F.col("v") - F.col("lo")) / width)).cast("int")
     counted = (
-        long.join(F.broadcast(span), ["feature", "label"])  # at most MAX_CLASSES rows per column
+        long.join(span, ["feature", "label"])  # stored, so the planner knows whether to broadcast
         .groupBy("feature", "label", "lo", "hi", "n", index.alias("bin"))
         .agg(F.count("*").alias("rows"))
         .groupBy("feature", "label", "lo", "hi", "n")

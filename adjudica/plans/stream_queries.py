@@ -114,23 +114,22 @@ def stream_alert_approval(spark, sf):
     stored = spark.readStream.schema(evaluations.schema).parquet(f"{root}/out")
     flagged = stored.select("slot", (F.col("ratio") > 0.3).alias("pending"))
     firing = alerts.duration_alerts(flagged, [], 600, 1800)
-    return runs.run_to_table(firing, "stream-alert", ALERT_PARTITIONS)
+    return runs.run_to_table(firing, "stream-alert", ALERT_PARTITIONS).drop("late")
 
 
 @query(
     "stream_no_traffic",
     f"""
-    WITH src AS (SELECT user_id % 7 AS lane, {slot_sql(3600)} AS slot FROM events WHERE value > 120),
-    seen AS (SELECT DISTINCT lane, slot FROM src
-      WHERE slot + 3600 <= (SELECT epoch(max(ts)) - 3600 FROM events WHERE value > 120)),
+    WITH src AS (SELECT user_id % 97 AS lane, {slot_sql(3600)} AS slot FROM events),
+    seen AS (SELECT DISTINCT lane, slot FROM src WHERE slot + 3600 <= {_CLOSED}),
     nxt AS (SELECT lane, slot, lead(slot) OVER (PARTITION BY lane ORDER BY slot) AS nx FROM seen)
-    SELECT lane::VARCHAR AS series, slot + 3600 AS active_since, slot + 3600 + 14400 AS fired_at
+    SELECT lane, slot + 3600 AS active_since, slot + 3600 + 14400 AS fired_at
     FROM nxt WHERE nx - 3600 >= slot + 3600 + 14400
     """,
 )
 def stream_no_traffic(spark, sf):
-    """Lanes without a large event for four hours between two of their events."""
-    stream = event_stream(spark, sf).where(F.col("value") > 120).withColumn("lane", F.col("user_id") % 7)
+    """Groups of users without an event for four hours between two of their events."""
+    stream = event_stream(spark, sf).withColumn("lane", F.col("user_id") % 97)
     counted = monitor.windowed(stream, "ts", batch.HOUR, {"n": F.count("*")}, ["lane"], _DELAY)
     root = work_dir(spark, "stream-lanes")
     runs.start_to_parquet(counted, f"{root}/out", f"{root}/state").awaitTermination()
@@ -138,7 +137,7 @@ def stream_no_traffic(spark, sf):
     flagged = stored.select("lane", "slot", F.lit(False).alias("pending"))
     # the watermark stays behind the last event, so an open tail is not judged here
     silent = alerts.duration_alerts(flagged, ["lane"], batch.HOUR, 4 * batch.HOUR, True, "60 days")
-    return runs.run_to_table(silent, "stream-silence", ALERT_PARTITIONS)
+    return runs.run_to_table(silent, "stream-silence", ALERT_PARTITIONS).drop("late")
 
 
 @query("stream_drift", drift_queries._BY_DAY.replace("FROM full_ GROUP BY", f"FROM full_ WHERE slot + 86400 <= {_CLOSED} GROUP BY"))

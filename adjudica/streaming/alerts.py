@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 _STATE = StructType(
     [
@@ -23,13 +23,7 @@ _STATE = StructType(
         StructField("fired", BooleanType()),
     ]
 )
-_OUT = StructType(
-    [
-        StructField("series", StringType()),
-        StructField("active_since", LongType()),
-        StructField("fired_at", LongType()),
-    ]
-)
+_EPISODE = [StructField("active_since", LongType()), StructField("fired_at", LongType()), StructField("late", LongType())]
 
 
 class _Episode:
@@ -38,6 +32,7 @@ class _Episode:
     def __init__(self, step: int, duration: int, idle_pending: bool, state=None):
         self.step, self.duration, self.idle = step, duration, idle_pending
         self.since, self.last, self.fired = state if state else (None, None, False)
+        self.late = 0  # evaluations of this batch that came behind a later one
 
     def _hold(self, upto: int) -> list[tuple[int, int]]:
         """The condition held up to and including this slot."""
@@ -63,7 +58,8 @@ class _Episode:
     def see(self, slot: int, pending: bool) -> list[tuple[int, int]]:
         out = self.idle_until(slot - self.step) if self.last is not None else []
         if self.last is not None and slot <= self.last:
-            return out  # a repeated evaluation
+            self.late += 1
+            return out
         if pending:
             if self.since is None:
                 self.since = slot
@@ -75,10 +71,12 @@ class _Episode:
 
 
 class DurationAlert(StatefulProcessor):
-    """Emits (series, active_since, fired_at) once per episode."""
+    """Emits (key columns, active_since, fired_at, late) once per episode. Evaluations that come
+    behind a later one of their series cannot change it any more: they give a row of
+    their own with their number in ``late`` and no episode."""
 
-    def __init__(self, step: int, duration: int, idle_pending: bool = False):
-        self.step, self.duration, self.idle = step, duration, idle_pending
+    def __init__(self, step: int, duration: int, idle_pending: bool = False, keys: Sequence[str] = ()):
+        self.step, self.duration, self.idle, self.keys = step, duration, idle_pending, list(keys)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -98,15 +96,13 @@ class DurationAlert(StatefulProcessor):
             steps = -(-self.duration // self.step)
             self.handle.registerTimer((since + (steps + 1) * self.step) * 1000)
 
-    def _emit(self, key, hits) -> Iterator[pd.DataFrame]:
-        if hits:
-            yield pd.DataFrame(
-                {
-                    "series": [str(key[0])] * len(hits),
-                    "active_since": [h[0] for h in hits],
-                    "fired_at": [h[1] for h in hits],
-                }
-            )
+    def _emit(self, key, hits, late: int = 0) -> Iterator[pd.DataFrame]:
+        rows = [(since, at, 0) for since, at in hits] + ([(None, None, late)] if late else [])
+        if rows:
+            out = {k: [v] * len(rows) for k, v in zip(self.keys, key)}
+            for i, name in enumerate(("active_since", "fired_at", "late")):
+                out[name] = pd.array([r[i] for r in rows], "Int64")
+            yield pd.DataFrame(out)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         episode, hits = self._load(), []
@@ -115,7 +111,7 @@ class DurationAlert(StatefulProcessor):
         for slot, pending in zip(seen["slot"], seen["pending"]):
             hits += episode.see(int(slot), bool(pending))
         self._store(episode)
-        yield from self._emit(key, hits)
+        yield from self._emit(key, hits, episode.late)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         episode = self._load()
@@ -136,15 +132,19 @@ def duration_alerts(
     idle_pending: bool = False,
     delay: str = "0 seconds",
 ) -> DataFrame:
-    """Firing episodes of a stream of (series..., slot, pending)."""
-    name = F.concat_ws("|", *[F.col(c).cast("string") for c in series]) if series else F.lit("all")
-    timed = evaluations.select(
-        name.alias("series"), F.col("slot").cast("long").alias("slot"), "pending",
-        F.timestamp_seconds(F.col("slot")).alias("at"),
-    ).withWatermark("at", delay)
-    return timed.groupBy("series").transformWithStateInPandas(
-        statefulProcessor=DurationAlert(step, duration, idle_pending),
-        outputStructType=_OUT,
+    """(series..., active_since, fired_at, late) of a stream of (series..., slot, pending).
+
+    The key columns keep their names and types. Without a series all rows are one,
+    named ``series`` = "all".
+    """
+    keys = list(series) or ["series"]
+    named = evaluations if series else evaluations.withColumn("series", F.lit("all"))
+    timed = named.select(
+        *keys, F.col("slot").cast("long").alias("slot"), "pending", F.timestamp_seconds(F.col("slot")).alias("__at")
+    ).withWatermark("__at", delay)
+    return timed.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=DurationAlert(step, duration, idle_pending, keys),
+        outputStructType=StructType([*[timed.schema[k] for k in keys], *_EPISODE]),
         outputMode="Append",
         timeMode="EventTime",
     )
