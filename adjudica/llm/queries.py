@@ -28,6 +28,37 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def license_sql(templates=license_scan.TEMPLATES, phrases=license_scan.PHRASES, percent: int = 90) -> str:
+    """Every block of every text against every template, without prefixes or filters."""
+    stride = max([license_scan.STRIDE, *[len(t.split()) for _, t in templates]])
+    rows = ", ".join(
+        f"({k}, '{label}', string_split('{' '.join(dict.fromkeys(t.split()))}', ' '))" for k, (label, t) in enumerate(templates)
+    )
+    place = " OR ".join(
+        "(" + " AND ".join(f"w[i + {j}] = '{x}'" for j, x in enumerate(p.split(), 1)) + ")" for p, _ in phrases
+    )
+    named = "CASE " + " ".join(f"WHEN w[i + 1] = '{p.split()[0]}' THEN '{label}'" for p, label in phrases) + " END"
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents),
+t(number, label, words) AS (VALUES {rows}),
+p AS (SELECT rid, i, {named} AS label FROM (SELECT rid, w, unnest(range(0, len(w))) AS i FROM d) WHERE {place}),
+base AS (SELECT rid, count(*) AS n, min(i) AS lo, max(i) AS hi, list(DISTINCT label) AS labels FROM p GROUP BY rid),
+b AS (SELECT rid, list_distinct(w[k * {stride} + 1 : k * {stride} + {2 * stride}]) AS block
+      FROM (SELECT rid, w, unnest(range(0, (len(w) + {stride - 1}) // {stride})) AS k FROM d)),
+h AS (SELECT rid, label, len(list_intersect(block, words)) AS n, len(words) AS size FROM b, t),
+hits AS (SELECT rid, list(DISTINCT label) AS labels, max(n / size) AS score FROM h WHERE 100 * n >= {percent} * size GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, lo::BIGINT AS first_word, hi::BIGINT AS last_word,
+       array_to_string(list_sort(coalesce(base.labels, [])), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(hits.labels, [])))), ',') AS labels,
+       coalesce(score, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN base USING (rid) LEFT JOIN hits USING (rid)
+"""
+
+
 def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeat_digests(table(spark, sf_dir, "documents"))
 
@@ -41,6 +72,27 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+#: Links by joining shingles, components by reachability.
+NEAR_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT rid, array_to_string(w[i : i + 4], ' ') AS g
+  FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 3, least(len(w), 1) + 1))) AS i FROM d)),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+pairs AS (SELECT x.rid AS a, y.rid AS b, count(*) AS common FROM s x JOIN s y ON x.g = y.g AND x.rid <> y.rid GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM pairs JOIN n p ON p.rid = a JOIN n q ON q.rid = b WHERE 100 * common >= 75 * (p.n + q.n - common)),
+reach AS (SELECT rid AS a, rid AS b FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a AS rid, min(doc_id) AS component_id FROM reach JOIN d ON d.rid = b GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM d LEFT JOIN n USING (rid) JOIN least USING (rid)
+"""
+
+
 def op6_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = curriculum.plan_mix(table(spark, sf_dir, "documents"))
     first = F.when(F.size("positions") > 0, F.col("positions")[0])
@@ -118,4 +170,4 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_collision_ann": op10_collision_ann,
 }
-ORACLES = {"op6_mix_curriculum": MIX_SQL}
+ORACLES = {"op2_license_scan": license_sql(), "op5_near_dedup": NEAR_SQL, "op6_mix_curriculum": MIX_SQL}
