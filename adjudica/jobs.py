@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .operators.contracts import LOAN_CONTRACT, TARGET_COLUMN
 from .operators.rewrite import rewrite_tables
 from .plans import stages
+from .session import drop_work
 from .sources import synth, tables
 
 
@@ -92,7 +93,11 @@ def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     if args.job == "rewrite" and not args.dry_run and not args.out:
         parser().error("rewrite needs --out unless --dry-run is given")
-    return args.run(SparkSession.builder.appName(f"adjudica-{args.job}").getOrCreate(), args)
+    spark = SparkSession.builder.appName(f"adjudica-{args.job}").getOrCreate()
+    try:
+        return args.run(spark, args)
+    finally:
+        drop_work(spark)
 
 
 if __name__ == "__main__":

@@ -19,6 +19,10 @@ _ARROW = {
 }
 
 
+_OWN: list[tempfile.TemporaryDirectory] = []
+_MADE: list[str] = []
+
+
 def local_session(cores: int | str = 8, name: str = "adjudica", **conf: str) -> SparkSession:
     """Session for tests and the local benchmark. A cluster brings its own."""
     settings = {
@@ -50,14 +54,25 @@ def work_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="adjudica-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    own = tempfile.TemporaryDirectory(prefix="adjudica-")
+    _OWN.append(own)  # removed when this process ends
+    spark.conf.set("spark.checkpoint.dir", own.name)
+    return own.name
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh, unique folder below the shared root."""
-    return os.path.join(work_root(spark), f"{purpose}-{uuid.uuid4().hex}")
+    """A fresh, unique folder below the shared root, which ``drop_work`` removes."""
+    path = os.path.join(work_root(spark), f"{purpose}-{uuid.uuid4().hex}")
+    _MADE.append(path)
+    return path
+
+
+def drop_work(spark: SparkSession) -> None:
+    """Remove the intermediate folders of this process; what lazily reads them ends with them."""
+    conf = spark._jsc.hadoopConfiguration()
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
