@@ -131,6 +131,26 @@ def contract_target(spark, sf):
     )
 
 
+@query(
+    "contract_errors",
+    """
+    SELECT 'labels: ' || count(*) || ' rows, 2000000000 or more are needed; ''doc_id'': smallest value is under '
+      || '1000000000; ''lang'': required, but absent; ''grade'': the label column is absent' AS message FROM labels
+    """,
+)
+def contract_errors(spark, sf):
+    """All broken rules of a table in one error: rows, a bound, a missing column and a missing label."""
+    contract = Contract((ColumnSpec("doc_id", "numeric", minimum=10**9), ColumnSpec("lang", "categorical")))
+    try:
+        contracts.validate_frame(
+            table(spark, sf, "labels"), contract, dataset="labels", target="grade", min_rows=2_000_000_000
+        )
+        message = "none"
+    except contracts.ContractViolation as broken:
+        message = str(broken)
+    return spark.createDataFrame([(message,)], "message string")
+
+
 @query(
     "observed_categories",
     """
