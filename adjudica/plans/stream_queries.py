@@ -65,9 +65,9 @@ def stream_dedupe(spark, sf):
     return kept.select("event_id", "user_id", "event_type", F.unix_micros("ts").alias("at"))
 
 
-def _trailing_sql() -> str:
+def _trailing_sql(hit: str = "event_type = 'purchase'") -> str:
     return f"""
-    part_ AS (SELECT {slot_sql(600)} AS slot, count(*) FILTER (event_type = 'purchase') AS hits, count(*) AS total
+    part_ AS (SELECT {slot_sql(600)} AS slot, count(*) FILTER ({hit}) AS hits, count(*) AS total
       FROM events GROUP BY 1),
     grid AS (SELECT unnest(range((SELECT min(slot) FROM part_), (SELECT max(slot) FROM part_) + 1, 600)) AS slot),
     sums AS (SELECT slot, (sum(hits) OVER w)::BIGINT AS hits, (sum(total) OVER w)::BIGINT AS total
@@ -77,44 +77,106 @@ def _trailing_sql() -> str:
       WHERE total > 0 AND slot + 600 <= {_CLOSED})"""
 
 
-def trailing_purchase(spark, sf):
+def _episodes_sql(source: str, condition: str, step: int, duration: int) -> str:
+    """Episodes over the evaluations there are: a missing one ends an episode."""
+    return f"""
+    flag AS (SELECT slot, coalesce({condition}, false) AS pending FROM {source}),
+    isl AS (SELECT *, sum((NOT pending)::INT) OVER (ORDER BY slot) AS island,
+      sum(CASE WHEN slot - prev <= {step} OR prev IS NULL THEN 0 ELSE 1 END) OVER (ORDER BY slot) AS gap
+      FROM (SELECT *, lag(slot) OVER (ORDER BY slot) AS prev FROM flag)),
+    act AS (SELECT *, min(CASE WHEN pending THEN slot END) OVER (PARTITION BY island, gap) AS since FROM isl)
+    SELECT 'all' AS series, since AS active_since, min(slot) AS fired_at FROM act
+    WHERE pending AND slot - since >= {duration} GROUP BY since"""
+
+
+def trailing_share(spark, sf, event_type="purchase"):
     return monitor.trailing_ratio(
-        event_stream(spark, sf), "ts", F.col("event_type") == "purchase", 600, 3600, (), _DELAY
+        event_stream(spark, sf), "ts", F.col("event_type") == event_type, 600, 3600, (), _DELAY
     )
 
 
+def _fired(evaluations, pending, step, duration, keys=(), delay="0 seconds"):
+    """Stored evaluations drive the alert stream."""
+    spark = evaluations.sparkSession
+    root = work_dir(spark, "stream-evaluations")
+    runs.start_to_parquet(evaluations, f"{root}/out", f"{root}/state").awaitTermination()
+    stored = spark.readStream.schema(evaluations.schema).parquet(f"{root}/out")
+    flagged = stored.select(*keys, "slot", F.coalesce(pending, F.lit(False)).alias("pending"))
+    firing = alerts.duration_alerts(flagged, list(keys), step, duration, delay=delay)
+    return runs.run_to_table(firing, "stream-alert", ALERT_PARTITIONS).drop("late")
+
+
 @query(
     "stream_approval_rate",
     f"WITH {_trailing_sql()} SELECT slot, hits, total, round(ratio, 6) AS ratio FROM ratio_",
 )
 def stream_approval_rate(spark, sf):
     """Trailing hour at every ten minutes, from ten-minute partials."""
-    out = runs.run_to_table(trailing_purchase(spark, sf), "stream-ratio")
+    out = runs.run_to_table(trailing_share(spark, sf), "stream-ratio")
     return out.withColumn("ratio", F.round("ratio", 6))
 
 
+@query("stream_alert_approval", f"WITH {_trailing_sql()}, {_episodes_sql('ratio_', 'ratio > 0.3', 600, 1800)}")
+def stream_alert_approval(spark, sf):
+    """Share above the limit for half an hour."""
+    return _fired(trailing_share(spark, sf), F.col("ratio") > 0.3, 600, 1800)
+
+
+@query("stream_alert_collapse", f"WITH {_trailing_sql()}, {_episodes_sql('ratio_', 'ratio < 0.1', 600, 1200)}")
+def stream_alert_collapse(spark, sf):
+    """Share below the limit for twenty minutes."""
+    return _fired(trailing_share(spark, sf), F.col("ratio") < 0.1, 600, 1200)
+
+
+_ERROR = "event_type = 'error'"
+
+
+@query("stream_alert_error_ratio", f"WITH {_trailing_sql(_ERROR)}, {_episodes_sql('ratio_', 'ratio > 0.25', 600, 1200)}")
+def stream_alert_error_ratio(spark, sf):
+    """Share of failures above the limit for twenty minutes."""
+    return _fired(trailing_share(spark, sf, "error"), F.col("ratio") > 0.25, 600, 1200)
+
+
 @query(
-    "stream_alert_approval",
+    "stream_alert_latency",
     f"""
-    WITH {_trailing_sql()},
-    flag AS (SELECT slot, ratio > 0.3 AS pending FROM ratio_),
-    isl AS (SELECT *, sum((NOT pending)::INT) OVER (ORDER BY slot) AS island,
-      sum(CASE WHEN slot - prev <= 600 OR prev IS NULL THEN 0 ELSE 1 END) OVER (ORDER BY slot) AS gap
-      FROM (SELECT *, lag(slot) OVER (ORDER BY slot) AS prev FROM flag)),
-    act AS (SELECT *, min(CASE WHEN pending THEN slot END) OVER (PARTITION BY island, gap) AS since FROM isl)
-    SELECT 'all' AS series, since AS active_since, min(slot) AS fired_at FROM act
-    WHERE pending AND slot - since >= 1800 GROUP BY since
+    WITH part_ AS (SELECT {slot_sql(3600)} AS slot, {_LE}, count(value) AS n FROM events GROUP BY 1),
+    grid AS (SELECT unnest(range((SELECT min(slot) FROM part_), (SELECT max(slot) FROM part_) + 1, 3600)) AS slot),
+    sums AS (SELECT slot, {', '.join(f'sum(le_{i}) OVER w AS le_{i}' for i in range(len(VALUE_BOUNDS)))},
+      sum(n) OVER w AS n FROM grid LEFT JOIN part_ USING (slot)
+      WINDOW w AS (ORDER BY slot RANGE BETWEEN 7200 PRECEDING AND CURRENT ROW)),
+    late AS (SELECT slot, {quantile_sql(0.95)} AS quantile FROM sums WHERE n > 0 AND slot + 3600 <= {_CLOSED}),
+    {_episodes_sql('late', 'quantile > 150.5', 3600, 7200)}
     """,
 )
-def stream_alert_approval(spark, sf):
-    """Share above the limit for half an hour: stored evaluations drive the alert stream."""
-    root = work_dir(spark, "stream-evaluations")
-    evaluations = trailing_purchase(spark, sf)
-    runs.start_to_parquet(evaluations, f"{root}/out", f"{root}/state").awaitTermination()
-    stored = spark.readStream.schema(evaluations.schema).parquet(f"{root}/out")
-    flagged = stored.select("slot", (F.col("ratio") > 0.3).alias("pending"))
-    firing = alerts.duration_alerts(flagged, [], 600, 1800)
-    return runs.run_to_table(firing, "stream-alert", ALERT_PARTITIONS).drop("late")
+def stream_alert_latency(spark, sf):
+    """Quantile of the trailing three hours above the limit for two hours."""
+    sums = {k: v for k, v in batch.histogram_aggregates("value", VALUE_BOUNDS).items() if k != "sum"}
+    wide = monitor.trailing(event_stream(spark, sf), "ts", batch.HOUR, 3 * batch.HOUR, sums, (), _DELAY)
+    limit = batch.histogram_quantile(0.95, VALUE_BOUNDS) > 150.5
+    return _fired(wide, limit, batch.HOUR, 2 * batch.HOUR)
+
+
+@query(
+    "stream_alert_burst",
+    f"""
+    WITH part_ AS (SELECT event_type, {slot_sql(60)} AS slot, count(*) AS n FROM events GROUP BY 1, 2),
+    grid AS (SELECT event_type, slot FROM (SELECT DISTINCT event_type FROM part_),
+      unnest(range((SELECT min(slot) FROM part_), (SELECT max(slot) FROM part_) + 600, 60)) AS g(slot)),
+    roll AS (SELECT event_type, slot, sum(n) OVER (PARTITION BY event_type ORDER BY slot
+      RANGE BETWEEN 540 PRECEDING AND CURRENT ROW) AS errors FROM grid LEFT JOIN part_ USING (event_type, slot)),
+    flag AS (SELECT event_type, slot, errors > 3 AS pending,
+      coalesce(lag(errors) OVER (PARTITION BY event_type ORDER BY slot), 0) > 3 AS held FROM roll
+      WHERE slot + 60 <= {_CLOSED})
+    SELECT event_type, slot AS active_since, slot AS fired_at FROM flag WHERE pending AND NOT held
+    """,
+)
+def stream_alert_burst(spark, sf):
+    """More than three events of one type within ten minutes, at once, per type."""
+    counted = monitor.trailing(
+        event_stream(spark, sf), "ts", 60, 600, {"errors": F.count("*")}, ["event_type"], _DELAY
+    )
+    return _fired(counted, F.col("errors") > 3, 60, 0, ["event_type"])
 
 
 @query(
