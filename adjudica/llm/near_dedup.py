@@ -233,6 +233,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75, key: str = "doc_id", tex
 def keep_one_of_each(docs: DataFrame, percent: int = 75, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each near-duplicate class; of rows that repeat an id and text, one."""
     kept = near_duplicates(docs, percent, key, text).where("kept").select(F.col("doc_id").alias("_id"), F.col("body").alias("_body")).distinct()
-    body = F.md5(raw_text(text))
-    same = F.col(f"`{key}`").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_body"))
-    return docs.withColumn("_key", body).join(kept, same, "left_semi").dropDuplicates([key, "_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = docs.columns
+    rows = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    doc, body = f"c{names.index(key)}", F.md5(raw_text(f"c{names.index(text)}"))
+    same = F.col(doc).cast("long").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_body"))
+    chosen = rows.withColumn("_digest", body).join(kept, same, "left_semi").dropDuplicates([doc, "_digest"])
+    return chosen.drop("_digest").toDF(*names)

@@ -272,6 +272,7 @@ def test_near_duplicates(docs, rows, empty):
     assert taken(near_dedup.near_duplicates(docs), "doc_id", "n_shingles", "component_id", "kept") == want
     kept = near_dedup.keep_one_of_each(docs)
     assert kept.columns == docs.columns
+    assert {r[c] for r in kept.collect() for c in CLASHES} == {"clash"}
     ids = Counter(r.doc_id for r in kept.collect())
     assert ids[1] == 1 and 2 not in ids and 3 not in ids and ids[20] == 1 and ids[None] == 2
     assert near_dedup.near_duplicates(empty).count() == 0
