@@ -6,8 +6,8 @@ of ``GROUPS`` halves each, GROUPS * GROUPS tables cost 6 * GROUPS minhashes inst
 halves a side it is missed in all 324 tables with probability 1e-4, one of 0.8 with 2e-6.
 
 Documents with equal sets are one node from the start. Only halves that two nodes share are
-put together. Members of a bucket are compared with its best connected member first; what those
-links leave in different components is compared pairwise. Pairs whose sizes rule out the
+put together. Members of a bucket are compared with its best connected member first, then with one
+drawn per bucket; what those links leave in different components is compared pairwise. Pairs whose sizes rule out the
 threshold are passed over, and so are pairs whose one-bit sketches (a bit per minhash) differ in more
 than ``MAX_DIFFERENT`` places: at 0.75 that happens with probability 1e-5. Every link is
 confirmed on the full sets.
@@ -187,6 +187,13 @@ def pack_texts(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataF
     return rows.join(w, same).select("w.node", "d.packed").dropDuplicates(["node"])
 
 
+def _unsettled(dealt: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows, with their roots, of the buckets that hold several components."""
+    placed = dealt.join(roots, "node")
+    open_ = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("bucket")
+    return placed.join(open_, "bucket", "left_semi")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, body, n_shingles, component_id, kept) for every document."""
     signed = stored(signatures(docs, key, text), "minhash-documents")
@@ -210,13 +217,21 @@ def near_duplicates(docs: DataFrame, percent: int = 75, key: str = "doc_id", tex
     packed = stored(pack_texts(docs, classes.join(ends, "node").select("node", "doc_id", "body"), key, text), "minhash-texts")
     links = stored(confirm(stars, packed, percent), "minhash-links")
     roots = stored(components(ends, links), "minhash-roots")
-    # buckets that still hold several components: their cross pairs, once each
-    placed = dealt.join(roots, "node")
-    open_ = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("bucket")
-    placed = stored(placed.join(open_, "bucket", "left_semi"), "minhash-open")
+    # a hub does not link everything it meets: compare with a centre drawn in each of a third of the
+    # buckets that still hold several components, so that large groups grow together
+    placed = stored(_unsettled(dealt, roots), "minhash-open")
+    draw = F.struct(F.xxhash64("bucket", "node").alias("h"), "node", "root", "n", "s1", "s2")
+    drawn = placed.where(F.pmod(F.col("bucket"), F.lit(3)) == 0).groupBy("bucket").agg(F.max(draw).alias("c")).select("bucket", "c.*")
+    apart = (F.col("m.bucket") == F.col("c.bucket")) & (F.col("m.root") != F.col("c.root")) & may_link(percent, "m", "c")
+    second = placed.alias("m").join(drawn.alias("c"), apart).select(F.greatest("m.node", "c.node").alias("a"), F.least("m.node", "c.node").alias("b"))
+    second = stored(second.distinct().join(stars, ["a", "b"], "left_anti"), "minhash-second")
+    links = links.unionByName(stored(confirm(second, packed, percent), "minhash-links"))
+    roots = stored(components(ends, links), "minhash-roots")
+    # what is left: cross pairs of the buckets that still hold several components, once each
+    placed = stored(_unsettled(dealt, roots), "minhash-open")
     apart = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") < F.col("y.root")) & may_link(percent, "x", "y")
     cross = placed.alias("x").join(placed.alias("y"), apart).select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b"))
-    cross = cross.distinct().join(stars, ["a", "b"], "left_anti")
+    cross = cross.distinct().join(stars.unionByName(second), ["a", "b"], "left_anti")
     more = stored(confirm(cross, packed, percent), "minhash-more")
     if not more.isEmpty():
         roots = stored(components(ends, links.unionByName(more)), "minhash-roots")
