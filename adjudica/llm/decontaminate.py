@@ -5,9 +5,8 @@ item, so an item that was copied lies whole in one passage. A posting's weight i
 impact divided by the item's score for its own text: an item scores 1 against itself, and one
 threshold serves all items. Retrieval is exact block-max WAND: lists sorted by item, skipped
 by the sum of list maxima, then of block maxima, and everything at or above the threshold is
-returned. Before that, a passage without any *leading* word is passed over: an item's
-leading words are its rarest in the corpus, as many as it takes for the others
-to stay below the threshold. Retrieved items are verified: the share of the question's and of the
+returned. Before that, a passage is passed over if the *leading* words it holds, an item's rarest in the
+corpus, leave every item below the threshold even with all its other words. Retrieved items are verified: the share of the question's and of the
 answer's word 3-grams that the passage holds. An item's answer follows its last
 question mark; without one its second half counts as the answer.
 
@@ -70,7 +69,9 @@ class Postings:
 class BlockMaxIndex:
     def __init__(self, items: list[tuple[int | None, bytes]], df: dict[bytes, int], n: int, mean: float, corpus: dict[bytes, int], threshold: float):
         self.threshold, self.items, lists = threshold - 1e-9, [], defaultdict(lambda: ([], []))
-        self.leading: set[bytes] = set()
+        #: rare words -> (item, weight); and what an item's leading words must add up to
+        self.leading: dict[bytes, list[tuple[int, float]]] = defaultdict(list)
+        self.needed: list[float] = []
         for item_id, text in items:
             words = words_of(text)
             if not words:
@@ -87,11 +88,20 @@ class BlockMaxIndex:
             for w in sorted(impact, key=lambda w: (corpus.get(w, 0), w)):
                 lists[w][0].append(number)
                 lists[w][1].append(impact[w] / own)
-                if rest >= self.threshold:
-                    self.leading.add(w)
+                if rest >= self.threshold / 3:
+                    self.leading[w].append((number, impact[w] / own))
                     rest -= impact[w] / own
+            self.needed.append(self.threshold - max(rest, 0.0))
         self.lists = {w: Postings(*pair) for w, pair in lists.items()}
 
+    def may_hold(self, words: set[bytes]) -> bool:
+        """Whether the leading words of some item weigh enough here for it to reach the threshold."""
+        sums: dict[int, float] = defaultdict(float)
+        for w in self.leading.keys() & words:
+            for item, weight in self.leading[w]:
+                sums[item] += weight
+        return any(total >= self.needed[item] - 1e-9 for item, total in sums.items())
+
     def search(self, words: set[bytes]) -> list[tuple[int, float]]:
         """(item, score) of every item at or above the threshold."""
         # a cursor: [current item, position, postings]
@@ -194,14 +204,16 @@ def indexes(docs: DataFrame, benchmark: DataFrame, threshold: float, text: str,
 def matches_in(text: bytes, index: BlockMaxIndex, stride: int, overlap: float) -> dict[int, tuple]:
     """item number: (passages, best score, best question overlap, best answer overlap) of verified items."""
     words = words_of(text)
-    if index.leading.isdisjoint(words):
+    if index.leading.keys().isdisjoint(words):
         return {}
     starts = {k // stride for k, w in enumerate(words) if w in index.leading}
     out: dict[int, tuple] = {}
     for p in sorted({q for s in starts for q in (s - 1, s) if q >= 0}):
         passage = words[p * stride : (p + 2) * stride]
-        held = None
-        for item, score in index.search(set(passage)):
+        held, distinct = None, set(passage)
+        if not index.may_hold(distinct):
+            continue
+        for item, score in index.search(distinct):
             held = held or grams(passage)
             _, question, answer = index.items[item]
             q = len(question & held) / len(question)
