@@ -7,8 +7,9 @@ threshold serves all items. Retrieval is exact block-max WAND: lists sorted by i
 by the sum of list maxima, then of block maxima, and everything at or above the threshold is
 returned. Before that, a passage is passed over if the *leading* words it holds, an item's rarest in the
 corpus, leave every item below the threshold even with all its other words. Retrieved items are verified: the share of the question's and of the
-answer's word 3-grams that the passage holds. An item's answer follows its last
-question mark; without one its second half counts as the answer.
+answer's word 3-grams that the passage holds; a question or an answer of one or two words
+is one gram of that length. An item's answer follows its last question mark; without one its
+second half counts as the answer.
 
 The index holds a slice of at most ``SLICE_BYTES`` of item text; more items mean more slices,
 one after the other, with weights from all items.
@@ -33,6 +34,7 @@ from .shared import batches_of, parts_for, raw_text
 THRESHOLD = 0.5
 OVERLAP = 0.5
 K1, B = 1.2, 0.75
+GRAM = 3
 STRIDE = 64
 POSTING_BLOCK = 32
 SLICE_BYTES = 4_000_000
@@ -44,11 +46,16 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().translate(_GAPS).split()
 
 
-def grams(words: list[bytes], n: int = 3) -> set[tuple[bytes, ...]]:
-    n = min(n, len(words))
+def grams(words: list[bytes], n: int) -> set[tuple[bytes, ...]]:
     return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()
 
 
+def part_grams(words: list[bytes]) -> tuple[int, set[tuple[bytes, ...]]]:
+    """The gram length of a question or an answer, at most GRAM, and its grams."""
+    n = min(GRAM, len(words))
+    return n, grams(words, n)
+
+
 def question_and_answer(text: bytes) -> tuple[list[bytes], list[bytes]]:
     head, mark, tail = text.rpartition(b"?")
     if mark and words_of(head) and words_of(tail):
@@ -83,7 +90,7 @@ class BlockMaxIndex:
                 impact[w] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / mean))
             own = sum(impact.values())
             number = len(self.items)
-            self.items.append((item_id, grams(question), grams(answer)))
+            self.items.append((item_id, part_grams(question), part_grams(answer)))
             rest = 1.0
             for w in sorted(impact, key=lambda w: (corpus.get(w, 0), w)):
                 lists[w][0].append(number)
@@ -210,14 +217,15 @@ def matches_in(text: bytes, index: BlockMaxIndex, stride: int, overlap: float) -
     out: dict[int, tuple] = {}
     for p in sorted({q for s in starts for q in (s - 1, s) if q >= 0}):
         passage = words[p * stride : (p + 2) * stride]
-        held, distinct = None, set(passage)
+        held, distinct = {}, set(passage)
         if not index.may_hold(distinct):
             continue
         for item, score in index.search(distinct):
-            held = held or grams(passage)
-            _, question, answer = index.items[item]
-            q = len(question & held) / len(question)
-            a = len(answer & held) / len(answer) if answer else 1.0
+            _, *parts = index.items[item]
+            for n, _ in parts:
+                if n not in held:
+                    held[n] = grams(passage, n)
+            q, a = (len(part & held[n]) / len(part) if part else 1.0 for n, part in parts)
             if q >= overlap and a >= overlap:
                 n, s, bq, ba = out.get(item, (0, 0.0, 0.0, 0.0))
                 out[item] = (n + 1, max(s, score), max(bq, q), max(ba, a))

@@ -415,6 +415,19 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.without_leaks(docs, bench.limit(0)).count() == docs.count()
 
 
+def test_short_questions_and_answers_are_found(spark):
+    items = [(1, "which city lies on the seine below the old bridge? Paris"), (2, "who wrote the novel about the whale? Herman Melville"), (3, "why? because of rain")]
+    items += [(10 + n, " ".join(f"short{n}word{k}" for k in range(n))) for n in range(1, 6)]
+    texts = [(i, prose(40 + i, 80) + " " + t + " " + prose(70 + i, 80)) for i, t in items]
+    bench, docs = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(texts, "doc_id long, text string")
+    # the question alone is no leak of an item whose answer is missing
+    alone = spark.createDataFrame([(200, items[0][1][:-5] + prose(39, 80)), (201, "short5word0 short5word1 short5word2")], docs.schema)
+    found = decontaminate.find_leaks(docs.unionByName(alone), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(i, i) for i, _ in items}
+    assert all(r.question_overlap == r.answer_overlap == 1.0 for r in found)
+    assert [r.doc_id for r in decontaminate.without_leaks(docs.unionByName(alone), bench).orderBy("doc_id").collect()] == [200, 201]
+
+
 def test_block_max_wand_equals_scoring_everything():
     rng = np.random.default_rng(8)
     vocabulary = [f"w{int(x)}".encode() for x in rng.zipf(1.3, 4000) if x < 500]
