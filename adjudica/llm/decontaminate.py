@@ -1,7 +1,8 @@
 """Benchmark decontamination: every training passage queries a BM25 index of the test items.
 
-Passages are windows of 2 * stride words, half overlapping; stride is at least the longest
-item, so an item that was copied lies whole in one passage. A posting's weight is its BM25
+Passages are windows of 2 * stride words, half overlapping. The stride of an item is STRIDE,
+doubled until it holds the item, so an item that was copied lies whole in one passage; items
+of the same stride are searched together, and no item depends on the length of another. A posting's weight is its BM25
 impact divided by the item's score for its own text: an item scores 1 against itself, and one
 threshold serves all items. Retrieval is exact block-max WAND: lists sorted by item, skipped
 by the sum of list maxima, then of block maxima, and everything at or above the threshold is
@@ -175,12 +176,20 @@ def _vocabulary_counts(docs: DataFrame, vocabulary: frozenset[bytes], text: str)
     return {bytes(r.word): r.n for r in found.groupBy("word").agg(F.sum("n").alias("n")).collect()}
 
 
-def indexes(docs: DataFrame, benchmark: DataFrame, threshold: float, text: str, item_key: str, item_text: str) -> Iterator[tuple[BlockMaxIndex, int]]:
-    """One index per slice of the items, and the stride."""
+def stride_of(words: int) -> int:
+    """The stride for an item of so many words."""
+    stride = STRIDE
+    while stride < words:
+        stride *= 2
+    return stride
+
+
+def indexes(docs: DataFrame, benchmark: DataFrame, threshold: float, text: str, item_key: str, item_text: str) -> Iterator[list[tuple[BlockMaxIndex, int]]]:
+    """For each slice of the items an index per stride, with the stride."""
     items = benchmark.select(F.col(item_key).cast("long").alias("item_id"), raw_text(item_text).alias("text")).where(F.octet_length("text") > 0)
     slices = parts_for(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0, SLICE_BYTES)
     sliced = items.withColumn("slice", F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)))
-    schema = pa.schema([("word", pa.binary()), ("df", pa.int64()), ("size", pa.int64()), ("longest", pa.int64())])
+    schema = pa.schema([("word", pa.binary()), ("df", pa.int64()), ("size", pa.int64())])
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
@@ -188,14 +197,14 @@ def indexes(docs: DataFrame, benchmark: DataFrame, threshold: float, text: str,
                 for value in batch["text"]:
                     held = words_of(value.as_py())
                     if held:
-                        yield None, 1, len(held), len(held)
+                        yield None, 1, len(held)
                         for w in set(held):
-                            yield w, 1, 0, 0
+                            yield w, 1, 0
 
         yield from batches_of(rows(), schema)
 
-    facts = items.select("text").mapInArrow(words, "word binary, df long, size long, longest long")
-    facts = facts.groupBy("word").agg(F.sum("df").alias("df"), F.sum("size").alias("size"), F.max("longest").alias("longest")).collect()
+    facts = items.select("text").mapInArrow(words, "word binary, df long, size long")
+    facts = facts.groupBy("word").agg(F.sum("df").alias("df"), F.sum("size").alias("size")).collect()
     whole = next((r for r in facts if r.word is None), None)
     if whole is None:
         return
@@ -205,12 +214,14 @@ def indexes(docs: DataFrame, benchmark: DataFrame, threshold: float, text: str,
         held.sort(key=lambda x: (x[0] is None, x[0] or 0, x[1]))
         vocabulary = frozenset(w for _, t in held for w in words_of(t))
         corpus = _vocabulary_counts(docs, vocabulary, text)
-        yield BlockMaxIndex(held, df, whole.df, whole.size / whole.df, corpus, threshold), max(STRIDE, whole.longest)
+        by_stride: dict[int, list] = defaultdict(list)
+        for item in held:
+            by_stride[stride_of(len(words_of(item[1])))].append(item)
+        yield [(BlockMaxIndex(some, df, whole.df, whole.size / whole.df, corpus, threshold), stride) for stride, some in sorted(by_stride.items())]
 
 
-def matches_in(text: bytes, index: BlockMaxIndex, stride: int, overlap: float) -> dict[int, tuple]:
+def matches_in(words: list[bytes], index: BlockMaxIndex, stride: int, overlap: float) -> dict[int, tuple]:
     """item number: (passages, best score, best question overlap, best answer overlap) of verified items."""
-    words = words_of(text)
     if index.leading.keys().isdisjoint(words):
         return {}
     starts = {k // stride for k, w in enumerate(words) if w in index.leading}
@@ -241,14 +252,16 @@ def find_leaks(
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("passages", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64())])
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), raw_text(text).alias("text"))
     out = None
-    for index, stride in indexes(docs, benchmark, threshold, text, item_key, item_text):
+    for classes in indexes(docs, benchmark, threshold, text, item_key, item_text):
 
-        def run(batches: Iterator[pa.RecordBatch], index=index, stride=stride) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], classes=classes) -> Iterator[pa.RecordBatch]:
             def found():
                 for batch in batches:
                     for doc, value in zip(batch["doc_id"].to_pylist(), batch["text"]):
-                        for item, facts in sorted(matches_in(value.as_py(), index, stride, overlap).items()):
-                            yield doc, index.items[item][0], *facts
+                        words = words_of(value.as_py())
+                        for index, stride in classes:
+                            for item, facts in sorted(matches_in(words, index, stride, overlap).items()):
+                                yield doc, index.items[item][0], *facts
 
             yield from batches_of(found(), schema)
 
@@ -265,11 +278,12 @@ def without_leaks(
     names = docs.columns
     kept = docs.toDF(*[f"c{i}" for i in range(len(names))])
     body = f"c{names.index(text)}"
-    for index, stride in indexes(docs, benchmark, threshold, text, item_key, item_text):
+    for classes in indexes(docs, benchmark, threshold, text, item_key, item_text):
 
-        def run(batches: Iterator[pa.RecordBatch], index=index, stride=stride) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], classes=classes) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                clean = [not matches_in(v.as_py(), index, stride, overlap) for v in batch["_bytes"]]
+                texts = (words_of(v.as_py()) for v in batch["_bytes"])
+                clean = [not any(matches_in(words, index, stride, overlap) for index, stride in classes) for words in texts]
                 yield batch.filter(pa.array(clean, pa.bool_())).drop_columns(["_bytes"])
 
         kept = kept.withColumn("_bytes", raw_text(body)).mapInArrow(run, kept.schema)

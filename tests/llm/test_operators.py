@@ -428,6 +428,18 @@ def test_short_questions_and_answers_are_found(spark):
     assert [r.doc_id for r in decontaminate.without_leaks(docs.unionByName(alone), bench).orderBy("doc_id").collect()] == [200, 201]
 
 
+def test_a_long_item_does_not_change_what_others_match(spark):
+    short, long = (1, prose(51, 12)), (2, prose(52, 1500, 3000))
+    words = short[1].split()
+    # the short item's words lie scattered, in runs of three, over a clean text
+    scattered = " ".join(" ".join(words[k : k + 3]) + " " + " ".join(f"gap{k}x{j}" for j in range(300)) for k in range(0, 12, 3))
+    docs = spark.createDataFrame([(1, scattered), (2, prose(53, 700) + " " + short[1] + " " + prose(54, 90)), (3, prose(55, 500) + " " + long[1])], "doc_id long, text string")
+    alone, both = (spark.createDataFrame(items, "item_id long, text string") for items in ([short], [short, long]))
+    found = lambda bench: {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, bench).collect()}
+    assert found(alone) == {(2, 1)} and found(both) == {(2, 1), (3, 2)}
+    assert [r.doc_id for r in decontaminate.without_leaks(docs, both).collect()] == [1]
+
+
 def test_block_max_wand_equals_scoring_everything():
     rng = np.random.default_rng(8)
     vocabulary = [f"w{int(x)}".encode() for x in rng.zipf(1.3, 4000) if x < 500]
