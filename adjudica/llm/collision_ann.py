@@ -1,15 +1,17 @@
 """Nearest neighbours by inner product, with collision-counting hashing.
 
-Vectors are lengthened by one coordinate to equal norms, which turns the largest inner
-product into the least distance. Each of ``PROJECTIONS`` random directions keeps the
+Blocks hold vectors of like norm, within a factor ``RATIO``. Vectors are lengthened by one
+coordinate to the largest norm of their block, which turns the largest inner product into the
+least distance, whatever the norms of other blocks. Each of ``PROJECTIONS`` random directions keeps the
 projections of a block of vectors as one sorted array. A query opens a window around its own
 projection in every array; a vector collides as often as it lies in a window. While
 fewer than k + ``SHARE`` * block vectors collide in ``THRESHOLD`` of the arrays, virtual rehashing
 widens all windows by ``GROWTH``. What passes is verified with the exact product in double
 precision. Ranks in the sorted arrays say whether a vector is in a window.
 
-Blocks have bounded size, every vector is indexed, and every query meets every block.
-On nearly isotropic 64-dimensional data the recall of the 20 nearest is above 0.95 (tests
+Blocks have bounded size, every vector is indexed, and every query meets every block. Norms
+next to each other that together have at most k + 1 vectors share a block, which is verified whole.
+On isotropic data the recall of the 20 nearest is above 0.9 for even and for uneven norms (tests
 measure it against brute force); clustered data is easier.
 
 Defined results: vectors that are null, zero, or hold nulls or non-finite numbers take no
@@ -20,6 +22,7 @@ the smaller id; a table without queries gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +37,7 @@ THRESHOLD = 0.70
 SHARE = 0.2
 START = 1.25
 GROWTH = 1.1
+RATIO = 1.1
 BLOCK = 8192
 QUERY_BLOCK = 512
 
@@ -41,22 +45,27 @@ QUERY_BLOCK = 512
 class CollisionIndex:
     """Sorted projections of one block of vectors."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, largest: float, projections: int = PROJECTIONS):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, projections: int = PROJECTIONS):
         self.ids, self.vectors, self.m = ids, vectors, projections
         self.directions = np.random.default_rng(11).standard_normal((vectors.shape[1] + 1, projections))
-        rest = np.sqrt(np.maximum(largest**2 - np.einsum("ij,ij->i", vectors, vectors), 0.0))
+        squares = np.einsum("ij,ij->i", vectors, vectors)
+        rest = np.sqrt(squares.max() - squares)
         projected = vectors @ self.directions[:-1] + rest[:, None] * self.directions[-1]
         order = np.argsort(projected, axis=0, kind="stable")
         self.sorted = np.take_along_axis(projected, order, axis=0).T.copy()
         self.ranks = np.empty((projections, len(ids)), np.uint16)
         np.put_along_axis(self.ranks, order.T, np.arange(len(ids), dtype=np.uint16)[None, :], axis=1)
         self.unit = float(projected.std()) or 1.0
-        self.largest = largest
+        self.largest = float(np.sqrt(squares.max()))
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(query id, ids, scores) of up to k nearest of the block for each query."""
         n, need = len(self.ids), int(THRESHOLD * self.m + 0.5)
         wanted = min(n, k + 1 + int(SHARE * n))
+        if wanted == n:
+            for query_id, query in zip(query_ids, queries):
+                yield self._verified(query_id, query, np.arange(n), k)
+            return
         norms = np.sqrt(np.einsum("ij,ij->i", queries, queries))
         centres = (queries * (self.largest / norms)[:, None]) @ self.directions[:-1]
         pending, width = np.arange(len(queries)), START * self.unit
@@ -96,16 +105,36 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.where(F.size("embedding") == (dims.d if dims else 0))
 
 
+def norm_blocks(counts: dict[int, int], k: int) -> list[tuple[int, int, int]]:
+    """(norm class, its first block, its number of blocks); small neighbouring classes share one."""
+    out, blocks, shared = [], 0, 0
+    for norm_class, n in sorted(counts.items()):
+        if shared and shared + n <= k + 1:
+            shared += n
+            out.append((norm_class, blocks - 1, 1))
+        else:
+            shared = n if n <= k + 1 else 0
+            out.append((norm_class, blocks, parts_for(n, BLOCK)))
+            blocks += out[-1][2]
+    return out
+
+
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found for every row that ``is_query`` (on ``vec_id``) admits."""
-    rows = stored(usable(vectors, key, vector), "ann-vectors")
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
-    facts = rows.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("largest"), F.count(F.when(is_query, 1)).alias("queries")).first()
-    blocks, query_blocks = parts_for(facts.n, BLOCK), parts_for(facts.queries, QUERY_BLOCK)
-    largest = facts.largest or 1.0
-    spread = rows.select("vec_id", "embedding", F.xxhash64("vec_id", "embedding").alias("h"))
+    square = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
+    # the squares of very small or large numbers leave the range of doubles
+    norm = F.least(F.greatest(F.sqrt(square), F.lit(1e-150)), F.lit(1e150))
+    rows = stored(usable(vectors, key, vector).withColumn("norm", norm), "ann-vectors")
+    facts = rows.agg(F.max("norm").alias("largest"), F.count(F.when(is_query, 1)).alias("queries")).first()
+    query_blocks = parts_for(facts.queries, QUERY_BLOCK)
+    steps = (F.log(F.lit(facts.largest or 1.0)) - F.log("norm")) / math.log(RATIO)
+    spread = rows.select("vec_id", "embedding", F.floor(steps).cast("int").alias("norm_class"), F.xxhash64("vec_id", "embedding").alias("h"))
+    dealt = norm_blocks({r.norm_class: r["count"] for r in spread.groupBy("norm_class").count().collect()}, k)
+    blocks = max((first + n for _, first, n in dealt), default=1)
+    places = vectors.sparkSession.createDataFrame(dealt, "norm_class int, first int, parts int")
     # twice the mean block fits the 16-bit ranks, whatever the hash does
-    data = spread.withColumn("block", F.pmod("h", F.lit(blocks))).groupBy("block").agg(
+    placed = spread.join(F.broadcast(places), "norm_class")
+    data = placed.withColumn("block", F.col("first") + F.pmod("h", F.col("parts"))).groupBy("block").agg(
         F.collect_list(F.struct("vec_id", "embedding")).alias("rows")
     )
     asked = spread.where(is_query).withColumn("part", F.pmod(F.shiftright("h", 20), F.lit(query_blocks))).groupBy("part").agg(
@@ -127,7 +156,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_i
         for batch in batches:
             for i, block in enumerate(batch["block"].to_pylist()):
                 if block != last:
-                    last, index = block, CollisionIndex(*unpacked(batch["rows"], i), largest)
+                    last, index = block, CollisionIndex(*unpacked(batch["rows"], i))
                 out = list(index.search(*unpacked(batch["queries"], i), k))
                 if out:
                     yield pa.record_batch(

@@ -487,3 +487,29 @@ def test_nearest_neighbours(spark):
     few = collision_ann.nearest(df.where("vec_id < 5"), F.col("vec_id") % 20 == 0).collect()
     assert sorted(r.vec_id for r in few) == [1, 2, 3, 4]
     assert collision_ann.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+@pytest.mark.parametrize("norms", ["one outlier", "lognormal"])
+def test_nearest_neighbours_of_uneven_norms(spark, norms):
+    rng = np.random.default_rng(16)
+    vectors = rng.standard_normal((2000, 64))
+    vectors /= np.sqrt((vectors * vectors).sum(1))[:, None]
+    if norms == "one outlier":
+        vectors[17] *= 3
+    else:
+        vectors *= np.exp(rng.normal(0, 0.6, 2000))[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got: dict = {}
+    for r in collision_ann.nearest(df, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    recall = []
+    for q in range(0, 2000, 20):
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        recall.append(len(got[q] & set(np.argsort(-scores, kind="stable")[:20].tolist())) / 20)
+    assert np.mean(recall) >= 0.9, np.mean(recall)
+
+
+def test_norm_blocks_hold_every_class():
+    assert collision_ann.norm_blocks({5: 3, 0: 1, 9: 20_000, 2: 15, 7: 10, 12: 2}, 20) == [(0, 0, 1), (2, 0, 1), (5, 0, 1), (7, 1, 1), (9, 2, 3), (12, 5, 1)]
+    assert collision_ann.norm_blocks({}, 20) == []
