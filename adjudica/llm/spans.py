@@ -6,6 +6,10 @@ and a window whose anchor stands at one place of the corpus only is not repeated
 span holds consecutive windows with the same anchor; window starts belong to exactly one
 span. Spans that agree in anchor and text are one row with a count from then on.
 
+An anchor whose distinct spans exceed ``SHARD_BYTES`` (a phrase met in very many contexts) is
+split: its windows get the least of runs of 2k units as their anchor, then of 4k, up to the
+whole window, when equal windows are all that share one.
+
 What is left, the distinct spans of anchors that occur more than once, goes to shards by
 anchor, where an operator's kernel finds the repeated windows; each span's answer then
 returns to all its places. Texts are collapsed by batch before they travel, so that
@@ -95,12 +99,17 @@ def identity(text: str) -> list:
     return [F.xxhash64(raw_text(text)).alias("b1"), F.xxhash64(F.lit("second"), raw_text(text)).alias("b2")]
 
 
+_SPAN_COLUMNS = "anchor long, span long, b1 long, b2 long, at long, units int, copies long"
+
+
 def spans_of(packed: DataFrame, units_of: Callable, window: int, k: int, buffer: int = 400_000) -> DataFrame:
     """(anchor, span, b1, b2, at, units, copies) of all texts.
 
-    ``units_of(text)`` returns (uint64 units, function from a unit range to its bytes).
+    ``units_of(text)`` returns (uint64 units, function from a unit range to its bytes). With a column
+    ``parts``, (at, units, copies) of unit ranges, only the windows inside these ranges are taken.
     """
     schema = pa.schema([("anchor", pa.int64()), ("span", pa.int64()), ("b1", pa.int64()), ("b2", pa.int64()), ("at", pa.int64()), ("units", pa.int32()), ("copies", pa.int64())])
+    ranged = "parts" in packed.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
@@ -110,7 +119,7 @@ def spans_of(packed: DataFrame, units_of: Callable, window: int, k: int, buffer:
             ends = np.cumsum([len(h[0]) for h in held])
             begin = ends - [len(h[0]) for h in held]
             texts, first, last, anchors = anchor_spans(units, ends, window, k)
-            at = first - begin[texts]
+            at = first - begin[texts] + np.array([h[5] for h in held], np.int64)[texts]
             length = last - first + window
             digest = xxhash.xxh3_64_intdigest
             span = np.fromiter((digest(held[t][1](a, a + n)) for t, a, n in zip(texts.tolist(), at.tolist(), length.tolist())), np.uint64, len(texts))
@@ -119,18 +128,50 @@ def spans_of(packed: DataFrame, units_of: Callable, window: int, k: int, buffer:
 
         held, size = [], 0
         for batch in batches:
-            for b1, b2, copies, value in zip(*(batch[c].to_pylist() for c in ("b1", "b2", "copies")), batch["packed"]):
+            wanted = batch["parts"].to_pylist() if ranged else [None] * batch.num_rows
+            for b1, b2, copies, parts, value in zip(*(batch[c].to_pylist() for c in ("b1", "b2", "copies")), wanted, batch["packed"]):
                 units, cut = units_of(unpack.decompress(value.as_py()))
-                if len(units) >= window:
-                    held.append((units, cut, b1, b2, copies))
-                    size += len(units)
-                if size >= buffer:
-                    yield flush(held)
-                    held, size = [], 0
+                for at, n, times in [(p["at"], p["units"], p["copies"]) for p in parts] if ranged else [(0, len(units), copies)]:
+                    if n >= window:
+                        held.append((units[at : at + n], cut, b1, b2, times, at))
+                        size += n
+                    if size >= buffer:
+                        yield flush(held)
+                        held, size = [], 0
         if held:
             yield flush(held)
 
-    return packed.select("b1", "b2", "copies", "packed").mapInArrow(run, "anchor long, span long, b1 long, b2 long, at long, units int, copies long")
+    return packed.select("b1", "b2", "copies", "packed", *["parts"] * ranged).mapInArrow(run, _SPAN_COLUMNS)
+
+
+def live_places(places: DataFrame, most: float) -> DataFrame:
+    """The spans of anchors that occur more than once, and whether all spans of the anchor have more than ``most`` units."""
+    live = places.groupBy("anchor").agg(F.sum("copies").alias("n"), (F.sum("units") > most).alias("crowded")).where("n > 1")
+    return stored(places.join(live.select("anchor", "crowded"), "anchor"), "span-live")
+
+
+def split_anchors(packed: DataFrame, places: DataFrame, units_of: Callable, window: int, k: int, most: float) -> DataFrame:
+    """The places, cut by ever longer runs until the distinct spans of no anchor have more than ``most`` units.
+
+    ``places`` comes from ``live_places``. At runs of a whole window an anchor has one distinct span.
+    """
+    done: list[DataFrame] = []
+    texts = packed.dropDuplicates(["b1", "b2"]).select("b1", "b2", "packed", "copies")
+    while k < window:
+        distinct = places.where("crowded").groupBy("anchor", "span").agg(F.first("units").alias("units"))
+        heavy = distinct.groupBy("anchor").agg(F.sum("units").alias("total")).where(F.col("total") > most).select("anchor")
+        heavy = stored(heavy, "span-heavy")
+        if heavy.isEmpty():
+            break
+        k = min(2 * k, window)
+        done.append(places.join(heavy, "anchor", "left_anti"))
+        ranges = places.join(heavy, "anchor").groupBy("b1", "b2", "at", "units").agg(F.sum("copies").alias("copies"))
+        parts = ranges.groupBy("b1", "b2").agg(F.collect_list(F.struct("at", "units", "copies")).alias("parts"))
+        cut = stored(spans_of(texts.join(parts, ["b1", "b2"]), units_of, window, k), "span-places")
+        places = live_places(cut, most)
+    for held in done:
+        places = places.unionByName(held)
+    return places
 
 
 def repeated_windows(
@@ -143,8 +184,8 @@ def repeated_windows(
     """
     packed = stored(pack(docs, key, text), "span-texts")
     places = stored(spans_of(packed, units_of, window, k), "span-places")
-    live = places.groupBy("anchor").agg(F.sum("copies").alias("n")).where("n > 1").select("anchor")
-    places = stored(places.join(live, "anchor"), "span-live")
+    most = SHARD_BYTES / bytes_per_unit
+    places = split_anchors(packed, live_places(places, most), units_of, window, k, most)
     # one place stands for all equal spans; fixed-width columns keep this a hash aggregate
     distinct = places.groupBy("anchor", "span").agg(
         F.sum("copies").alias("n"), *[F.first(c).alias(c) for c in ("b1", "b2", "at", "units")]

@@ -2,7 +2,8 @@
 
 Only suffixes that can begin a repeat are looked at: those of the distinct spans whose
 anchor, a prefix of ``RUN`` words met inside the passage, stands at several places
-(``spans``). They are dealt by that prefix into shards of bounded size. In a shard the suffixes
+(``spans``). They are dealt by that prefix into shards of bounded size, prefixes that too many
+different spans share by ever longer ones. In a shard the suffixes
 are split by their first word, then by ever longer prefixes; a prefix that only one suffix
 has is a leaf and drops out, a prefix with several is an internal node of the tree. Its depth
 doubles from level to level, so a level is one grouping of (node, node further on). The

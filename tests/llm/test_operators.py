@@ -21,6 +21,7 @@ from adjudica.llm import (
     license_scan,
     near_dedup,
     ppm,
+    spans,
     substring_dedup,
     suffix_dedup,
     token_store,
@@ -220,6 +221,33 @@ def test_substring_dedup(docs, rows, empty):
     assert substring_dedup.repeat_digests(empty).count() == 0
 
 
+@pytest.mark.parametrize("operator", ["op7", "op3"])
+def test_an_anchor_in_many_contexts_is_split(spark, monkeypatch, operator):
+    phrase = prose(81, 20)
+    texts = [(i, " ".join([prose(1000 + i, 40), phrase, prose(2000 + i, 40)])) for i in range(150)]
+    # some contexts come again
+    texts += [(500 + i, prose(3000 + i, 9) + " " + " ".join(texts[7 * i][1].split()[15 : 85 - i])) for i in range(15)]
+    units_of, cut, window, run, size = (substring_dedup.word_units, substring_dedup.repeats_in_shard, 35, 6, 6.5) if operator == "op7" else (suffix_dedup.byte_units, suffix_dedup.repeats_in_shard, 200, 32, 1.0)
+    bound = 3000
+    monkeypatch.setattr(spans, "SHARD_BYTES", bound)
+
+    def kernel(held, counts):
+        if sum(map(len, held)) > 6 * bound:
+            raise ValueError(f"{sum(map(len, held))} bytes in a shard")
+        return cut(held, counts, window)
+
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    packed, runs = spans.repeated_windows(docs, units_of, kernel, window, run, size, "doc_id", "text")
+    found = spans.remove_repeats(docs, packed, runs, lambda text, ranges: (sum(b - a for a, b in ranges), str(ranges)), window, "n long, ranges string", "doc_id", "text")
+    split = [t.split() if operator == "op7" else list(t.encode()) for _, t in texts]
+    want = {}
+    for (i, _), marks in zip(texts, covered(split, window)):
+        edges = np.flatnonzero(np.diff([0, *marks, 0])).tolist()
+        want[i] = (sum(marks), str(list(zip(edges[::2], edges[1::2]))))
+    assert {r.doc_id: (r.n, r.ranges) for r in found.collect()} == want
+    assert sum(n > 0 for n, _ in want.values()) >= 30
+
+
 def test_deep_starts_equal_window_counts():
     rng = np.random.default_rng(3)
     for _ in range(30):
