@@ -3,7 +3,9 @@
 Character 1- to 3-grams of the lower-cased text are hashed into ``FEATURES`` columns.
 Document frequencies come from every training document; the weights are fitted with
 follow-the-regularised-leader and elastic-net penalties on a bounded sample per language
-(about ``per_language`` documents, drawn by digest), one fifth of which sets the temperature.
+(about ``per_language`` documents of any length, drawn by digest), one fifth of which sets the
+temperature. A drawn text reaches the fit as its n-gram counts, at most FEATURES; where these are more
+than ``sample_entries`` a text on average, fewer texts are drawn, a quarter of ``per_language`` at least.
 The model is a matrix of FEATURES x languages, which bounds what tasks receive.
 
 Defined results: ``und`` with score 0 for a null text or one without a letter, and for all
@@ -48,20 +50,19 @@ class LanguageModel:
     bias: np.ndarray
     temperature: float
 
-    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        columns, counts = ngram_counts(text)
+    def vector(self, columns: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         values = (1.0 + np.log(counts)) * self.idf[columns]
         norm = np.sqrt(values @ values)
         return columns, values / norm if norm else values
 
-    def logits(self, text: str) -> np.ndarray:
-        columns, values = self.vector(text)
+    def logits(self, columns: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        columns, values = self.vector(columns, counts)
         return values @ self.weights[columns] + self.bias
 
     def predict(self, text: str) -> tuple[str, float]:
         if not self.languages:
             return UNKNOWN, 0.0
-        p = softmax(self.logits(text) / self.temperature)
+        p = softmax(self.logits(*ngram_counts(text)) / self.temperature)
         best = int(np.argmax(p))
         return self.languages[best], float(p[best])
 
@@ -77,8 +78,8 @@ def fit_ftrl(rows, labels, idf, languages, alpha=1.0, beta=1.0, l1=0.002, l2=0.0
     z, n = np.zeros((FEATURES + 1, k)), np.zeros((FEATURES + 1, k))
     shell = LanguageModel(languages, idf, z[:FEATURES], z[FEATURES], 1.0)
     vectors = []
-    for text in rows:
-        columns, values = shell.vector(text)
+    for counted in rows:
+        columns, values = shell.vector(*counted)
         vectors.append((np.append(columns, FEATURES), np.append(values, 1.0)))
 
     def weights(at):
@@ -102,7 +103,7 @@ def calibrate(model: LanguageModel, rows, labels) -> LanguageModel:
     """The temperature that minimises the log loss of held-back rows (golden section on its logarithm)."""
     if not rows:
         return model
-    logits, labels = np.stack([model.logits(t) for t in rows]), np.asarray(labels)
+    logits, labels = np.stack([model.logits(*r) for r in rows]), np.asarray(labels)
 
     def loss(log_t):
         p = softmax(logits / np.exp(log_t))[np.arange(len(labels)), labels]
@@ -139,11 +140,30 @@ def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
     return total, out
 
 
+def counted_sample(sample: DataFrame) -> list[tuple[str, tuple[np.ndarray, np.ndarray]]]:
+    """(lang, n-gram columns and counts) of the drawn texts, in the order of the draw; counted where the texts are."""
+    schema = pa.schema([("lang", pa.string()), ("draw", pa.int64()), ("columns", pa.binary()), ("counts", pa.binary())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            for batch in batches:
+                for lang, draw, value in zip(batch["lang"].to_pylist(), batch["draw"].to_pylist(), batch["text"]):
+                    columns, counts = ngram_counts(value.as_py().decode("utf-8", "replace"))
+                    yield lang, draw, columns.astype("<u2").tobytes(), counts.astype("<u4").tobytes()
+
+        yield from batches_of(rows(), schema, 200)
+
+    drawn = sample.select("lang", "draw", raw_text("text").alias("text")).distinct()
+    found = drawn.mapInArrow(count, "lang string, draw long, columns binary, counts binary").collect()
+    found.sort(key=lambda r: (r.draw, r.lang, r["columns"], r.counts))
+    return [(r.lang, (np.frombuffer(r["columns"], "<u2").astype(np.int64), np.frombuffer(r.counts, "<u4").astype(np.int64))) for r in found]
+
+
 def fit(
     docs: DataFrame,
     training: Column,
     per_language: int = 800,
-    sample_bytes: int = 16_384,
+    sample_entries: int = FEATURES // 4,
     key: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
@@ -155,21 +175,21 @@ def fit(
     total, df = document_frequencies(rows.select(raw_text("text").alias("text")))
     idf = np.log((1.0 + total) / (1.0 + df)) + 1.0
     # draws below a bound per language: about per_language rows each, whatever the table's size
-    usable = rows.where((F.octet_length("text") <= sample_bytes) & F.col("text").rlike(r"\p{L}"))
-    usable = usable.withColumn("draw", F.xxhash64(F.lit("language"), "id", "text"))
-    counts = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    usable = rows.where(F.col("text").rlike(r"\p{L}")).withColumn("draw", F.xxhash64(F.lit("language"), "id", "text"))
+    # a text has no more n-gram columns than FEATURES, and few texts have more than bytes
+    entries = F.avg(F.least(F.octet_length("text"), F.lit(FEATURES)))
+    facts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), entries.alias("entries")).collect()
     drawn = F.lit(False)
-    for name, n in counts.items():
-        bound = draw_bound(per_language / n)
-        drawn = drawn | ((F.col("lang") == name) & (F.col("draw") <= bound))
-    sample = usable.where(drawn).select("lang", "draw", "text").distinct().collect()
-    sample.sort(key=lambda r: (r.draw, r.lang, r.text))
-    languages = tuple(sorted({r.lang for r in sample}))
+    for r in facts:
+        bound = draw_bound(per_language * min(1.0, sample_entries / r.entries) / r.n)
+        drawn = drawn | ((F.col("lang") == r.lang) & (F.col("draw") <= bound))
+    sample = counted_sample(usable.where(drawn))
+    languages = tuple(sorted({lang for lang, _ in sample}))
     at = {name: i for i, name in enumerate(languages)}
     fitted = [r for i, r in enumerate(sample) if i % 5]
     held = [r for i, r in enumerate(sample) if i % 5 == 0]
-    model = fit_ftrl([r.text for r in fitted], [at[r.lang] for r in fitted], idf, languages) if languages else LanguageModel((), idf, np.zeros((FEATURES, 0)), np.zeros(0), 1.0)
-    return calibrate(model, [r.text for r in held], [at[r.lang] for r in held])
+    model = fit_ftrl([r for _, r in fitted], [at[lang] for lang, _ in fitted], idf, languages) if languages else LanguageModel((), idf, np.zeros((FEATURES, 0)), np.zeros(0), 1.0)
+    return calibrate(model, [r for _, r in held], [at[lang] for lang, _ in held])
 
 
 def predict(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -427,6 +427,17 @@ def test_language_id(spark, empty):
     assert {r.lang_pred for r in language_id.fit_predict(unlabelled).collect()} == {"und"}
 
 
+def test_language_of_long_texts_only(spark):
+    rng = np.random.default_rng(10)
+    words = {"en": "the of and thing river when other light", "de": "der und nicht schön über straße wenn auch", "fr": "le où été garçon avec très nous quand"}
+    size = lambda lang, i: 4000 + i if lang == "fr" else 5 + i % 9
+    texts = [(i, " ".join(rng.choice(words[lang].split(), size(lang, i))), lang) for i, lang in enumerate(list(words) * 25)]
+    assert all(len(t.encode()) > 16_384 for _, t, lang in texts if lang == "fr")
+    got = language_id.fit_predict(spark.createDataFrame(texts, "doc_id long, text string, lang string")).collect()
+    right = Counter(r.lang_pred for r in got if r.lang_pred == texts[r.doc_id][2])
+    assert right["fr"] == 25 and right["en"] >= 23 and right["de"] >= 23
+
+
 def test_decontamination(spark, docs, empty):
     items = [(1, prose(21, 20)), (2, "what is " + prose(22, 12) + "? " + prose(23, 8)), (3, None), (4, ""), (5, prose(21, 20)), (None, prose(24, 30)), (6, "?!")]
     bench = spark.createDataFrame([i + ("x",) for i in items], "item_id long, text string, score string")
