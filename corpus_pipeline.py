@@ -25,12 +25,12 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, in training order."""
+    """Documents as often as the mix takes them. They leave in training order, but the next stage does not keep it."""
     return curriculum.in_training_order(docs)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of the mixed corpus, read back: one row per document taken."""
+    """Token files of the mixed corpus, read back: one row per document taken, in ascending id order as op8 sets it."""
     folder, dictionary = token_store.write_documents(docs, tokenizer_path())
     return token_store.read_documents(spark, folder, dictionary)
 
