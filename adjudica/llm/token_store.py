@@ -40,7 +40,7 @@ MAGIC = b"TIDS"
 _HEAD = "<4sB32s"
 _ENTRY = np.dtype([("has_id", "u1"), ("id", "<i8"), ("offset", "<u8"), ("length", "<u4"), ("ids", "<u8")])
 _TAIL = "<QQ4s"
-#: Texts of the dictionary's training sample: how many, and the largest in bytes.
+#: Pieces of the dictionary's training sample: how many, and how much text each stands for, in bytes.
 SAMPLE_DOCUMENTS = 400
 SAMPLE_BYTES = 16_384
 DICTIONARY_BYTES = 65_536
@@ -136,16 +136,38 @@ def encoder_of(path: str) -> Encoder:
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, key: str, text: str) -> bytes:
-    """A zstandard dictionary from the ids of whole short texts, about SAMPLE_DOCUMENTS of them, drawn by digest."""
-    short = docs.select(raw_text(text).alias("text")).where(F.octet_length("text").between(1, SAMPLE_BYTES))
-    drawn = short.withColumn("draw", F.xxhash64("text"))
-    rows = drawn.count()
-    # the expected number of texts, whatever the table's size; equal texts are drawn once
-    bound = draw_bound(SAMPLE_DOCUMENTS / max(rows, 1))
-    sample = drawn.where(F.col("draw") <= bound).dropDuplicates(["draw"]).collect()
-    sample.sort(key=lambda r: r.draw)
-    encode, end = encoder_of(tokenizer), np.uint32(end_id).tobytes()
-    samples = [encode(bytes(r.text)) + end for r in sample]
+    """A zstandard dictionary from about SAMPLE_DOCUMENTS pieces of id arrays, drawn by digest from texts of every length.
+
+    A text is one piece, a longer one a piece for every SAMPLE_BYTES; pieces are cut from the ids of the whole text.
+    """
+    schema = pa.schema([("draw", pa.int64()), ("piece", pa.int64()), ("ids", pa.binary())])
+    texts = docs.select(raw_text(text).alias("text")).where(F.octet_length("text") > 0)
+    held = texts.select("text", F.xxhash64("text").alias("draw"), F.ceil(F.octet_length("text") / SAMPLE_BYTES).alias("pieces"))
+    pieces = held.agg(F.sum("pieces")).first()[0] or 0
+    # the expected number of pieces, whatever the table's size; equal texts are drawn once
+    bound = draw_bound(SAMPLE_DOCUMENTS / max(pieces, 1))
+    chosen = F.filter(
+        F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1),
+        lambda p: F.when(p == 0, F.col("draw")).otherwise(F.xxhash64("draw", p)) <= bound,
+    )
+
+    def encode_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, end = encoder_of(tokenizer), np.uint32(end_id).tobytes()
+
+        def rows():
+            for batch in batches:
+                for value, draw, n, chosen in zip(batch["text"], *(batch[c].to_pylist() for c in ("draw", "pieces", "chosen"))):
+                    ids = encode(value.as_py()) + end
+                    units = len(ids) // 4
+                    for p in chosen:
+                        yield draw, p, ids[units * p // n * 4 : units * (p + 1) // n * 4]
+
+        yield from batches_of(rows(), schema, 100)
+
+    drawn = held.withColumn("chosen", chosen).where(F.size("chosen") > 0).dropDuplicates(["draw"])
+    sample = drawn.mapInArrow(encode_pieces, "draw long, piece long, ids binary").collect()
+    sample.sort(key=lambda r: (r.draw, r.piece))
+    samples = [bytes(r.ids) for r in sample if r.ids]
     if not samples:
         return b""
     try:

@@ -397,6 +397,14 @@ def test_token_store_round_trip(spark, docs, rows, empty):
     assert token_store.read_documents(spark, folder, dictionary).count() == 0
 
 
+def test_dictionary_of_long_texts(spark):
+    long = [(i, prose(600 + i, 12_000)) for i in range(8)]
+    assert all(len(t) > token_store.SAMPLE_BYTES for _, t in long)
+    docs = spark.createDataFrame(long, "doc_id long, text string")
+    dictionary = token_store.train_dictionary(docs, tokenizer_path(), 1, "doc_id", "text")
+    assert 0 < len(dictionary) <= token_store.DICTIONARY_BYTES
+
+
 def test_encoder_equals_the_tokenizer():
     from tokenizers import Tokenizer
 
