@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collision_ann, curriculum, decontaminate, language_id, license_scan, near_dedup, ppm, substring_dedup, suffix_dedup, token_store
+from . import (
+    collision_ann,
+    cover_tree,
+    curriculum,
+    decontaminate,
+    language_id,
+    license_scan,
+    near_dedup,
+    ppm,
+    simhash,
+    substring_dedup,
+    suffix_dedup,
+    token_store,
+    whitening,
+)
 from .shared import remainder_of_id, table
 
 #: Vocabulary file of the token store, as ``public_tokenizers`` names it.
@@ -158,6 +172,45 @@ def op10_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collision_ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal(F.col("bits")).alias("fingerprint"), "component_id")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return cover_tree.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, moved)
+
+
+#: Every anchor against every row; the products of integers are exact in doubles.
+NEGATIVES_SQL = """
+WITH r AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * c::DOUBLE) for c in embedding] AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len([c for c in embedding if c IS NOT NULL AND isfinite(c)]) = len(embedding)),
+s AS (
+  SELECT a.rid AS anchor, a.vec_id AS anchor_id, b.rid AS other, b.vec_id AS other_id, a.label = b.label AS same,
+         list_inner_product(a.x, b.x)::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.rid <> b.rid AND len(a.x) = len(b.x)),
+p AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other_id, other) AS k FROM s WHERE same)
+  WHERE k <= 5)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM (
+  SELECT p.anchor_id, p.other_id AS positive_id, s.other_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY s.score DESC, s.other_id, s.other)::INTEGER AS rank
+  FROM p JOIN s USING (anchor)
+  WHERE NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+WHERE rank <= 3
+"""
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES = {
     "op1_ppm_score": op1_ppm_score,
     "op2_license_scan": op2_license_scan,
@@ -169,5 +222,13 @@ QUERIES = {
     "op8_token_store": op8_token_store,
     "op9_language_id": op9_language_id,
     "op10_collision_ann": op10_collision_ann,
+    "op11_simhash_dedup": op11_simhash_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_whitening": op13_whitening,
+}
+ORACLES = {
+    "op2_license_scan": license_sql(),
+    "op5_near_dedup": NEAR_SQL,
+    "op6_mix_curriculum": MIX_SQL,
+    "op12_hard_negatives": NEGATIVES_SQL,
 }
-ORACLES = {"op2_license_scan": license_sql(), "op5_near_dedup": NEAR_SQL, "op6_mix_curriculum": MIX_SQL}
