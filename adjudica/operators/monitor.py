@@ -225,10 +225,11 @@ def trailing_ratio(
     width: int,
     keys: Sequence[str] = (),
     min_rate: float = MIN_RATE,
+    interval: tuple[int, int] | None = None,
 ) -> DataFrame:
     """(keys..., slot, hits, total, ratio): share of hits in the trailing window."""
     part = partials(df, ts, step, {"hits": F.count_if(hit), "total": F.count("*")}, keys)
-    sums = trailing_sums(part, step, width, keys, ["hits", "total"])
+    sums = trailing_sums(part, step, width, keys, ["hits", "total"], interval=interval)
     return sums.withColumn("ratio", guarded_ratio(F.col("hits"), F.col("total"), width, min_rate))
 
 
@@ -241,11 +242,12 @@ def trailing_quantiles(
     step: int,
     width: int,
     keys: Sequence[str] = (),
+    interval: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Histogram quantiles over a trailing window, at every step."""
     aggs = {k: v for k, v in histogram_aggregates(value, bounds).items() if k != "sum"}
     part = partials(df, ts, step, aggs, keys)
-    sums = trailing_sums(part, step, width, keys, list(aggs))
+    sums = trailing_sums(part, step, width, keys, list(aggs), interval=interval)
     return quantiles_of(sums, bounds, probs).select(*keys, "slot", "count", *probs)
 
 
@@ -339,34 +341,36 @@ def alert_intervals(firing: DataFrame, keys: Sequence[str] = (), slot: str = "sl
 
 
 def latency_alert(df, ts, value, limit=0.5, q=0.95, step=MINUTE, width=5 * MINUTE, duration=5 * MINUTE,
-                  bounds: Sequence[float] = LATENCY_BOUNDS) -> DataFrame:
+                  bounds: Sequence[float] = LATENCY_BOUNDS, interval: tuple[int, int] | None = None) -> DataFrame:
     """Quantile of the trailing window above the limit for the duration."""
-    rows = trailing_quantiles(df, ts, value, bounds, {"quantile": q}, step, width)
+    rows = trailing_quantiles(df, ts, value, bounds, {"quantile": q}, step, width, interval=interval)
     return holds_for(rows, F.col("quantile") > limit, duration)
 
 
 def error_ratio_alert(df, ts, failed: Column, limit=0.05, step=MINUTE, width=5 * MINUTE,
-                      duration=5 * MINUTE) -> DataFrame:
+                      duration=5 * MINUTE, interval: tuple[int, int] | None = None) -> DataFrame:
     """Share of failed requests above the limit for the duration."""
-    return holds_for(trailing_ratio(df, ts, failed, step, width), F.col("ratio") > limit, duration)
+    return holds_for(trailing_ratio(df, ts, failed, step, width, interval=interval), F.col("ratio") > limit, duration)
 
 
-def error_burst_alert(df, ts, error_type, limit=5, step=MINUTE, width=10 * MINUTE) -> DataFrame:
+def error_burst_alert(df, ts, error_type, limit=5, step=MINUTE, width=10 * MINUTE,
+                      interval: tuple[int, int] | None = None) -> DataFrame:
     """More than ``limit`` errors of one type in the trailing window, at once."""
     errors = df.where(F.col(error_type).isNotNull())
     part = partials(errors, ts, step, {"errors": F.count("*")}, [error_type])
-    sums = trailing_sums(part, step, width, [error_type], ["errors"])
+    sums = trailing_sums(part, step, width, [error_type], ["errors"], interval=interval)
     return holds_for(sums, F.col("errors") > limit, 0, [error_type])
 
 
 def approval_rate_alert(df, ts, approved: Column, low: float | None = 0.20, high: float | None = 0.90,
-                        step=MINUTE, width=30 * MINUTE, duration=15 * MINUTE, min_events: int = 0) -> DataFrame:
+                        step=MINUTE, width=30 * MINUTE, duration=15 * MINUTE, min_events: int = 0,
+                        interval: tuple[int, int] | None = None) -> DataFrame:
     """Approval rate outside the band for the duration.
 
     An idle series has ratio 0 and so counts as collapsed; ``min_events`` demands
     that many decisions in the window first.
     """
-    rows = trailing_ratio(df, ts, approved, step, width)
+    rows = trailing_ratio(df, ts, approved, step, width, interval=interval)
     out = F.lit(False)
     if high is not None:
         out = out | (F.col("ratio") > high)
@@ -376,18 +380,19 @@ def approval_rate_alert(df, ts, approved: Column, low: float | None = 0.20, high
 
 
 def no_traffic_alert(df, ts, step=MINUTE, width=15 * MINUTE, duration=15 * MINUTE,
-                     keys: Sequence[str] = ()) -> DataFrame:
+                     keys: Sequence[str] = (), interval: tuple[int, int] | None = None) -> DataFrame:
     """Nothing at all in the trailing window, for the duration."""
     part = partials(df, ts, step, {"n": F.count("*")}, keys)
-    return holds_for(trailing_sums(part, step, width, keys, ["n"]), F.col("n") == 0, duration, keys)
+    return holds_for(trailing_sums(part, step, width, keys, ["n"], interval=interval), F.col("n") == 0, duration, keys)
 
 
-def gauge_alert(df, ts, value, instance, duration, step=MINUTE, equals: float = 0.0, tie: str | None = None) -> DataFrame:
+def gauge_alert(df, ts, value, instance, duration, step=MINUTE, equals: float = 0.0, tie: str | None = None,
+                interval: tuple[int, int] | None = None) -> DataFrame:
     """The gauge of an instance reads ``equals`` for the duration: last reading per
     step, carried forward over steps without a reading. Of readings at one instant the
     one with the largest ``tie`` is the last, without it the largest reading."""
     order = F.struct(F.col(ts), F.col(tie or value))
     part = partials(df, ts, step, {"value": F.max_by(value, order)}, [instance])
-    grid = on_grid(part, step, [instance], ["value"], idle=None).drop("__chunk")
+    grid = on_grid(part, step, [instance], ["value"], idle=None, interval=interval).drop("__chunk")
     filled = carried_forward(grid, "value", [instance])
     return holds_for(filled, F.col("value") == equals, duration, [instance])

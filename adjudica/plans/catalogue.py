@@ -4,6 +4,7 @@ from . import (  # noqa: F401
     contract_queries,
     drift_queries,
     feature_queries,
+    fitted_queries,
     metric_queries,
     model_queries,
     monitor_queries,

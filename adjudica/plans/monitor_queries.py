@@ -264,8 +264,7 @@ def alert_latency(spark, sf):
 @query(
     "alert_error_burst",
     f"""
-    WITH part_ AS (SELECT event_type, {slot_sql(60)} AS slot, count(*) AS n FROM events
-      WHERE event_type IN ('error', 'signup') GROUP BY 1, 2),
+    WITH part_ AS (SELECT event_type, {slot_sql(60)} AS slot, count(*) AS n FROM events GROUP BY 1, 2),
     grid AS (SELECT event_type, slot FROM (SELECT DISTINCT event_type FROM part_),
       unnest(range((SELECT min(slot) FROM part_), (SELECT max(slot) FROM part_) + 1, 60)) AS g(slot)),
     roll AS (SELECT event_type, slot, (sum(coalesce(n, 0)) OVER (PARTITION BY event_type ORDER BY slot
@@ -274,9 +273,8 @@ def alert_latency(spark, sf):
     """,
 )
 def alert_error_burst(spark, sf):
-    """More than three failures of one type within ten minutes, no delay."""
-    failures = events(spark, sf).where(F.col("event_type").isin("error", "signup"))
-    firing = m.error_burst_alert(failures, "ts", "event_type", 3)
+    """More than three events of one type within ten minutes, no delay."""
+    firing = m.error_burst_alert(events(spark, sf), "ts", "event_type", 3)
     return firing.where("firing").select("event_type", "slot", "errors")
 
 

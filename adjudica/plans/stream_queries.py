@@ -12,7 +12,7 @@ from ..streaming import alerts, monitor, runs
 from . import drift_queries
 from .drift_queries import events_profile
 from .monitor_queries import VALUE_BOUNDS, quantile_sql, slot_sql
-from .registry import query
+from .registry import query, table
 
 _DELAY = "1 hour"
 ALERT_PARTITIONS = 8  # one state record per series: a handful
@@ -65,16 +65,16 @@ def stream_dedupe(spark, sf):
     return kept.select("event_id", "user_id", "event_type", F.unix_micros("ts").alias("at"))
 
 
-def _trailing_sql(hit: str = "event_type = 'purchase'") -> str:
+def _trailing_sql(hit: str = "event_type = 'purchase'", where: str = "total > 0 AND") -> str:
     return f"""
     part_ AS (SELECT {slot_sql(600)} AS slot, count(*) FILTER ({hit}) AS hits, count(*) AS total
       FROM events GROUP BY 1),
     grid AS (SELECT unnest(range((SELECT min(slot) FROM part_), (SELECT max(slot) FROM part_) + 1, 600)) AS slot),
-    sums AS (SELECT slot, (sum(hits) OVER w)::BIGINT AS hits, (sum(total) OVER w)::BIGINT AS total
+    sums AS (SELECT slot, coalesce(sum(hits) OVER w, 0)::BIGINT AS hits, coalesce(sum(total) OVER w, 0)::BIGINT AS total
       FROM grid LEFT JOIN part_ USING (slot)
       WINDOW w AS (ORDER BY slot RANGE BETWEEN 3000 PRECEDING AND CURRENT ROW)),
     ratio_ AS (SELECT slot, hits, total, hits / greatest(total, 3.6::DOUBLE) AS ratio FROM sums
-      WHERE total > 0 AND slot + 600 <= {_CLOSED})"""
+      WHERE {where} slot + 600 <= {_CLOSED})"""
 
 
 def _episodes_sql(source: str, condition: str, step: int, duration: int) -> str:
@@ -89,20 +89,16 @@ def _episodes_sql(source: str, condition: str, step: int, duration: int) -> str:
     WHERE pending AND slot - since >= {duration} GROUP BY since"""
 
 
-def trailing_share(spark, sf, event_type="purchase"):
+def trailing_share(spark, sf, event_type="purchase", timed=False):
     return monitor.trailing_ratio(
-        event_stream(spark, sf), "ts", F.col("event_type") == event_type, 600, 3600, (), _DELAY
+        event_stream(spark, sf), "ts", F.col("event_type") == event_type, 600, 3600, (), _DELAY, timed
     )
 
 
-def _fired(evaluations, pending, step, duration, keys=(), delay="0 seconds"):
-    """Stored evaluations drive the alert stream."""
-    spark = evaluations.sparkSession
-    root = work_dir(spark, "stream-evaluations")
-    runs.start_to_parquet(evaluations, f"{root}/out", f"{root}/state").awaitTermination()
-    stored = spark.readStream.schema(evaluations.schema).parquet(f"{root}/out")
-    flagged = stored.select(*keys, "slot", F.coalesce(pending, F.lit(False)).alias("pending"))
-    firing = alerts.duration_alerts(flagged, list(keys), step, duration, delay=delay)
+def _fired(evaluations, pending, step, duration, keys=(), idle_pending=False):
+    """Windows and alerts in one streaming query: the watermark goes on through ``at``."""
+    flagged = evaluations.select(*keys, "slot", "at", F.coalesce(pending, F.lit(False)).alias("pending"))
+    firing = alerts.duration_alerts(flagged, list(keys), step, duration, idle_pending, event_time="at")
     return runs.run_to_table(firing, "stream-alert", ALERT_PARTITIONS).drop("late")
 
 
@@ -119,13 +115,13 @@ def stream_approval_rate(spark, sf):
 @query("stream_alert_approval", f"WITH {_trailing_sql()}, {_episodes_sql('ratio_', 'ratio > 0.3', 600, 1800)}")
 def stream_alert_approval(spark, sf):
     """Share above the limit for half an hour."""
-    return _fired(trailing_share(spark, sf), F.col("ratio") > 0.3, 600, 1800)
+    return _fired(trailing_share(spark, sf, timed=True), F.col("ratio") > 0.3, 600, 1800)
 
 
-@query("stream_alert_collapse", f"WITH {_trailing_sql()}, {_episodes_sql('ratio_', 'ratio < 0.1', 600, 1200)}")
+@query("stream_alert_collapse", f"WITH {_trailing_sql(where='')}, {_episodes_sql('ratio_', 'ratio < 0.1', 600, 1200)}")
 def stream_alert_collapse(spark, sf):
-    """Share below the limit for twenty minutes."""
-    return _fired(trailing_share(spark, sf), F.col("ratio") < 0.1, 600, 1200)
+    """Share below the limit for twenty minutes; a window without events has the share 0, as in the batch form."""
+    return _fired(trailing_share(spark, sf, timed=True), F.col("ratio") < 0.1, 600, 1200, idle_pending=True)
 
 
 _ERROR = "event_type = 'error'"
@@ -134,7 +130,7 @@ _ERROR = "event_type = 'error'"
 @query("stream_alert_error_ratio", f"WITH {_trailing_sql(_ERROR)}, {_episodes_sql('ratio_', 'ratio > 0.25', 600, 1200)}")
 def stream_alert_error_ratio(spark, sf):
     """Share of failures above the limit for twenty minutes."""
-    return _fired(trailing_share(spark, sf, "error"), F.col("ratio") > 0.25, 600, 1200)
+    return _fired(trailing_share(spark, sf, "error", True), F.col("ratio") > 0.25, 600, 1200)
 
 
 @query(
@@ -152,7 +148,7 @@ def stream_alert_error_ratio(spark, sf):
 def stream_alert_latency(spark, sf):
     """Quantile of the trailing three hours above the limit for two hours."""
     sums = {k: v for k, v in batch.histogram_aggregates("value", VALUE_BOUNDS).items() if k != "sum"}
-    wide = monitor.trailing(event_stream(spark, sf), "ts", batch.HOUR, 3 * batch.HOUR, sums, (), _DELAY)
+    wide = monitor.trailing(event_stream(spark, sf), "ts", batch.HOUR, 3 * batch.HOUR, sums, (), _DELAY, True)
     limit = batch.histogram_quantile(0.95, VALUE_BOUNDS) > 150.5
     return _fired(wide, limit, batch.HOUR, 2 * batch.HOUR)
 
@@ -174,34 +170,77 @@ def stream_alert_latency(spark, sf):
 def stream_alert_burst(spark, sf):
     """More than three events of one type within ten minutes, at once, per type."""
     counted = monitor.trailing(
-        event_stream(spark, sf), "ts", 60, 600, {"errors": F.count("*")}, ["event_type"], _DELAY
+        event_stream(spark, sf), "ts", 60, 600, {"errors": F.count("*")}, ["event_type"], _DELAY, True
     )
     return _fired(counted, F.col("errors") > 3, 60, 0, ["event_type"])
 
 
+_BEAT_END = "(SELECT epoch(max(ts)) + 3 * 86400 - 3600 FROM events)"
+
+
 @query(
     "stream_no_traffic",
     f"""
     WITH src AS (SELECT user_id % 97 AS lane, {slot_sql(3600)} AS slot FROM events),
-    seen AS (SELECT DISTINCT lane, slot FROM src WHERE slot + 3600 <= {_CLOSED}),
+    seen AS (SELECT DISTINCT lane, slot FROM src),
     nxt AS (SELECT lane, slot, lead(slot) OVER (PARTITION BY lane ORDER BY slot) AS nx FROM seen)
     SELECT lane, slot + 3600 AS active_since, slot + 3600 + 14400 AS fired_at
-    FROM nxt WHERE nx - 3600 >= slot + 3600 + 14400
+    FROM nxt WHERE coalesce(nx - 3600, {_BEAT_END} - 3600) >= slot + 3600 + 14400
     """,
 )
 def stream_no_traffic(spark, sf):
-    """Groups of users without an event for four hours between two of their events."""
+    """Groups of users without an event for four hours; a clock that goes on for three days after
+    the last event shows the silence that no event ends."""
     stream = event_stream(spark, sf).withColumn("lane", F.col("user_id") % 97)
-    counted = monitor.windowed(stream, "ts", batch.HOUR, {"n": F.count("*")}, ["lane"], _DELAY)
-    root = work_dir(spark, "stream-lanes")
-    runs.start_to_parquet(counted, f"{root}/out", f"{root}/state").awaitTermination()
-    stored = spark.readStream.schema(counted.schema).parquet(f"{root}/out")
-    flagged = stored.select("lane", "slot", F.lit(False).alias("pending"))
-    # the watermark stays behind the last event, so an open tail is not judged here
-    silent = alerts.duration_alerts(flagged, ["lane"], batch.HOUR, 4 * batch.HOUR, True, "60 days")
+    clock = work_dir(spark, "stream-clock")
+    last = runs.event_time(table(spark, sf, "events").agg(F.max("ts").alias("ts")), "ts")
+    last.select(F.explode(F.sequence("ts", F.col("ts") + F.expr("INTERVAL 3 DAYS"), F.expr("INTERVAL 1 HOUR"))).alias("ts")).write.parquet(clock)
+    beats = spark.readStream.schema("ts timestamp").parquet(clock)
+    marked = alerts.with_heartbeat(stream, beats, "ts", _DELAY)
+    counted = monitor.windowed(marked, "ts", batch.HOUR, {"n": F.count("*")}, ["lane"], None, timed=True)
+    flagged = counted.select("lane", "slot", "at", F.lit(False).alias("pending"))
+    silent = alerts.duration_alerts(flagged, ["lane"], batch.HOUR, 4 * batch.HOUR, True, event_time="at")
     return runs.run_to_table(silent, "stream-silence", ALERT_PARTITIONS).drop("late")
 
 
+def _gauge_sql(duration: int, expired: str) -> str:
+    """Last reading of each hour carried forward, over the hours that the watermark has closed."""
+    return f"""
+    WITH src AS (SELECT user_id % 25 AS inst, ts, event_id, (event_type <> 'error')::INT AS up FROM events),
+    part_ AS (SELECT inst, {slot_sql(3600)} AS slot, arg_max(up, (ts, event_id)) AS up FROM src GROUP BY 1, 2),
+    grid AS (SELECT inst, unnest(range(min(slot), {_CLOSED}::BIGINT - 3600 + 1, 3600)) AS slot FROM part_ GROUP BY inst),
+    roll AS (SELECT inst, slot, last_value(up IGNORE NULLS) OVER w AS up,
+      slot - last_value(CASE WHEN up IS NOT NULL THEN slot END IGNORE NULLS) OVER w AS age
+      FROM grid LEFT JOIN part_ USING (inst, slot) WINDOW w AS (PARTITION BY inst ORDER BY slot)),
+    flag AS (SELECT inst, slot, up = 0 OR {expired} AS pending FROM roll),
+    isl AS (SELECT *, sum((NOT pending)::INT) OVER (PARTITION BY inst ORDER BY slot) AS island FROM flag),
+    act AS (SELECT *, min(CASE WHEN pending THEN slot END) OVER (PARTITION BY inst, island) AS since FROM isl)
+    SELECT inst, since AS active_since, min(slot) AS fired_at FROM act
+    WHERE pending AND slot - since >= {duration} GROUP BY inst, since"""
+
+
+def _gauge_stream(spark, sf):
+    return event_stream(spark, sf).select(
+        "event_id", (F.col("user_id") % 25).alias("inst"), "ts", (F.col("event_type") != "error").cast("int").alias("up")
+    )
+
+
+@query("stream_alert_down", _gauge_sql(7200, "age > 3 * 3600"))
+def stream_alert_down(spark, sf):
+    """Instances that read 0, or gave no reading for three hours, for two further hours."""
+    firing = alerts.gauge_alerts(
+        _gauge_stream(spark, sf), "ts", "up", "inst", 2 * batch.HOUR, batch.HOUR, expiry=3 * batch.HOUR, tie="event_id", delay=_DELAY
+    )
+    return runs.run_to_table(firing, "stream-down", ALERT_PARTITIONS).drop("late")
+
+
+@query("stream_alert_unloaded", _gauge_sql(3600, "false"))
+def stream_alert_unloaded(spark, sf):
+    """Instances whose last reading is 0 for an hour, however old it is."""
+    firing = alerts.gauge_alerts(_gauge_stream(spark, sf), "ts", "up", "inst", batch.HOUR, batch.HOUR, tie="event_id", delay=_DELAY)
+    return runs.run_to_table(firing, "stream-unloaded", ALERT_PARTITIONS).drop("late")
+
+
 @query("stream_drift", drift_queries._BY_DAY.replace("FROM full_ GROUP BY", f"FROM full_ WHERE slot + 86400 <= {_CLOSED} GROUP BY"))
 def stream_drift(spark, sf):
     """Each closed day scored against the stored profile as it leaves the window."""

@@ -28,17 +28,23 @@ def windowed(
     width: int,
     aggregates: Mapping[str, Column],
     keys: Sequence[str] = (),
-    delay: str = "10 minutes",
+    delay: str | None = "10 minutes",
+    timed: bool = False,
 ) -> DataFrame:
-    """(slot, keys..., aggregates...) per tumbling window."""
+    """(slot, keys..., aggregates...) per tumbling window; with ``timed`` also ``at``, which carries the watermark
+    on to a further stateful step. ``delay`` None keeps the watermark that the stream has."""
+    marked = stream.withWatermark(ts, delay) if delay else stream
     return (
-        stream.withWatermark(ts, delay)
-        .groupBy(F.window(ts, _seconds(width)).alias("w"), *keys)
+        marked.groupBy(F.window(ts, _seconds(width)).alias("w"), *keys)
         .agg(*[a.alias(n) for n, a in aggregates.items()])
-        .select(_slot(F.col("w")).alias("slot"), *keys, *aggregates)
+        .select(_slot(F.col("w")).alias("slot"), *keys, *aggregates, *_event_time("w", timed))
     )
 
 
+def _event_time(window: str, timed: bool) -> list[Column]:
+    return [F.window_time(window).alias("at")] if timed else []
+
+
 def counts_and_rates(
     stream: DataFrame, ts: str, width: int, keys: Sequence[str] = (), delay: str = "10 minutes"
 ) -> DataFrame:
@@ -61,6 +67,7 @@ def trailing(
     aggregates: Mapping[str, Column],
     keys: Sequence[str] = (),
     delay: str = "10 minutes",
+    timed: bool = False,
 ) -> DataFrame:
     """Sums over a trailing window at every step, from per-step partial counts.
 
@@ -78,7 +85,7 @@ def trailing(
         *[F.sum(n).alias(n) for n in aggregates]
     )
     return slid.select(
-        (F.unix_timestamp(F.col("v")["end"]) - step).alias("slot"), *keys, *aggregates
+        (F.unix_timestamp(F.col("v")["end"]) - step).alias("slot"), *keys, *aggregates, *_event_time("v", timed)
     )
 
 
@@ -90,8 +97,9 @@ def trailing_ratio(
     width: int,
     keys: Sequence[str] = (),
     delay: str = "10 minutes",
+    timed: bool = False,
 ) -> DataFrame:
-    sums = trailing(stream, ts, step, width, {"hits": F.count_if(hit), "total": F.count("*")}, keys, delay)
+    sums = trailing(stream, ts, step, width, {"hits": F.count_if(hit), "total": F.count("*")}, keys, delay, timed)
     return sums.withColumn("ratio", guarded_ratio(F.col("hits"), F.col("total"), width))
 
 
