@@ -7,9 +7,9 @@ halves a side it is missed in all 324 tables with probability 1e-4, one of 0.8 w
 
 Documents with equal sets are one node from the start. Only halves that two nodes share are
 put together. Members of a bucket are compared with its best connected member first, then with one
-drawn per bucket; what those links leave in different components is compared pairwise. Pairs whose sizes rule out the
-threshold are passed over, and so are pairs whose one-bit sketches (a bit per minhash) differ in more
-than ``MAX_DIFFERENT`` places: at 0.75 that happens with probability 1e-5. Every link is
+drawn per bucket. These steps pass over pairs whose one-bit sketches (a bit per minhash) differ in more
+than ``MAX_DIFFERENT`` places; they lose nothing, as the last step has no such filter: the documents of buckets that still
+hold several components are joined on their rare shingles (``prefix_pairs``), and pairs that meet in a table are kept. Every link is
 confirmed on the full sets.
 
 Defined results: a null or wordless text has the empty set, links with nothing and is kept;
@@ -187,6 +187,61 @@ def pack_texts(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataF
     return rows.join(w, same).select("w.node", "d.packed").dropDuplicates(["node"])
 
 
+def shingle_sets(nodes: DataFrame, packed: DataFrame) -> DataFrame:
+    """(node, shingle) of every member of the nodes' sets."""
+    schema = pa.schema([("node", pa.int64()), ("shingle", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, unpack = WordHashes(), zstandard.ZstdDecompressor()
+        for batch in batches:
+            for node, value in zip(batch["node"].to_pylist(), batch["packed"]):
+                s = shingles(hashes.of(unpack.decompress(value.as_py()).lower().split())).view(np.int64)
+                for at in range(0, len(s), 100_000):
+                    part = s[at : at + 100_000]
+                    yield pa.record_batch([pa.array(np.full(len(part), node)), pa.array(part)], schema=schema)
+
+    return packed.join(nodes.select("node"), "node", "left_semi").mapInArrow(run, "node long, shingle long")
+
+
+def prefix_pairs(nodes: DataFrame, packed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes (node, root, n) of different components that can reach the threshold, by an exact prefix join.
+
+    A set's shingles are ordered by the number of nodes that have them, rare ones first. With t the threshold, a pair that
+    reaches it has its first common shingle among the first n - ceil(2 t n / (1 + t)) + 1 of the smaller set and the first n - ceil(t n) + 1 of
+    the larger. Sizes, and what can follow that shingle in both sets, rule out more. A line that many documents share comes
+    last in their order, so that it pairs none of them unless it is nearly all they have.
+    """
+    sets = stored(shingle_sets(nodes, packed), "minhash-sets")
+    common = sets.groupBy("shingle").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    # shingles of one node only come first and pair nothing: their number is enough
+    ordered = sets.join(common, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("f", "shingle"))).alias("list"))
+    ranked = ordered.join(nodes, "node").select("node", "root", "n", (F.col("n") - F.size("list")).alias("ahead"), F.posexplode("list").alias("i", "e"))
+    entry = ranked.select("node", "root", "n", (F.col("ahead") + F.col("i")).alias("at"), "e.shingle")
+    longer = entry.where(100 * F.col("at") <= (100 - percent) * F.col("n"))
+    shorter = entry.where((100 + percent) * F.col("at") <= (100 - percent) * F.col("n"))
+    # a shingle within one component pairs nothing
+    mixed = longer.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("shingle")
+    longer = stored(longer.join(mixed, "shingle", "left_semi"), "minhash-prefixes")
+    shorter = shorter.join(mixed, "shingle", "left_semi")
+    left = F.least(F.col("s.n") - F.col("s.at"), F.col("l.n") - F.col("l.at"))
+    fits = (
+        (F.col("s.shingle") == F.col("l.shingle")) & (F.col("s.root") != F.col("l.root"))
+        & ((F.col("s.n") < F.col("l.n")) | ((F.col("s.n") == F.col("l.n")) & (F.col("s.node") < F.col("l.node"))))
+        & (100 * F.col("s.n") >= percent * F.col("l.n")) & ((100 + percent) * left >= percent * (F.col("s.n") + F.col("l.n")))
+    )
+    pairs = shorter.alias("s").join(longer.alias("l"), fits)
+    return pairs.select(F.greatest("s.node", "l.node").alias("a"), F.least("s.node", "l.node").alias("b")).distinct()
+
+
+def share_key(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs that meet in a table: they agree in one half of each collection."""
+    halves_of = lambda name: classes.select(F.col("node").alias(name), F.col("halves").alias(f"halves_{name}"))
+    both = pairs.join(halves_of("a"), "a").join(halves_of("b"), "b")
+    same = F.zip_with("halves_a", "halves_b", lambda x, y: x == y)
+    met = F.exists(F.slice(same, 1, GROUPS), lambda x: x) & F.exists(F.slice(same, GROUPS + 1, GROUPS), lambda x: x)
+    return both.where(met).select("a", "b")
+
+
 def _unsettled(dealt: DataFrame, roots: DataFrame) -> DataFrame:
     """Rows, with their roots, of the buckets that hold several components."""
     placed = dealt.join(roots, "node")
@@ -227,11 +282,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75, key: str = "doc_id", tex
     second = stored(second.distinct().join(stars, ["a", "b"], "left_anti"), "minhash-second")
     links = links.unionByName(stored(confirm(second, packed, percent), "minhash-links"))
     roots = stored(components(ends, links), "minhash-roots")
-    # what is left: cross pairs of the buckets that still hold several components, once each
-    placed = stored(_unsettled(dealt, roots), "minhash-open")
-    apart = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") < F.col("y.root")) & may_link(percent, "x", "y")
-    cross = placed.alias("x").join(placed.alias("y"), apart).select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b"))
-    cross = cross.distinct().join(stars.unionByName(second), ["a", "b"], "left_anti")
+    # what is left, exactly: documents of buckets that still hold several components, by their rare shingles
+    placed = _unsettled(dealt, roots)
+    open_ = stored(placed.groupBy("node").agg(F.first("root").alias("root"), F.first("n").alias("n")), "minhash-open")
+    cross = share_key(prefix_pairs(open_, packed, percent), classes).join(stars.unionByName(second), ["a", "b"], "left_anti")
     more = stored(confirm(cross, packed, percent), "minhash-more")
     if not more.isEmpty():
         roots = stored(components(ends, links.unionByName(more)), "minhash-roots")
