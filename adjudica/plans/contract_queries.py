@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import admission, contracts
 from ..operators.admission import FieldRule, RecordContract
 from ..operators.contracts import ColumnSpec, Contract
+from ..session import work_dir
 from .registry import query, table
 
 CUSTOMER_CONTRACT = Contract(
@@ -23,8 +24,8 @@ _CUSTOMER_SRC = """
       CASE WHEN c_acctbal < 3000 THEN NULL ELSE c_acctbal END AS balance_gap FROM customer)"""
 
 
-def customer_view(spark, sf):
-    return table(spark, sf, "customer").select(
+def gaps_in(customers):
+    return customers.select(
         "c_custkey",
         "c_acctbal",
         F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment"),
@@ -32,6 +33,10 @@ def customer_view(spark, sf):
     )
 
 
+def customer_view(spark, sf):
+    return gaps_in(table(spark, sf, "customer"))
+
+
 def report_rows(report):
     """Numeric observations as numbers, listings as text: engine-neutral columns."""
     number = F.round(F.col("observed").try_cast("double"), 4)
@@ -304,3 +309,51 @@ def response_bounds(spark, sf):
     checked = admission.with_violations(served, admission.DECISION_RECORD)
     outcome = F.when(F.size("violations") == 0, F.lit("ok")).otherwise(F.array_join("violations", "; "))
     return checked.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("rows"))
+
+
+_WRITTEN_SQL = f"""
+    WITH {_CUSTOMER_SRC},
+    n AS (SELECT count(*) AS n, count(*) FILTER (c_acctbal IS NULL) AS n1, min(c_acctbal) AS lo, max(c_acctbal) AS hi,
+      avg(c_acctbal) AS mean, count(*) FILTER (segment IS NULL) AS n2,
+      count(*) FILTER (segment NOT IN ('AUTOMOBILE', 'FURNITURE', 'HOUSEHOLD')) AS odd,
+      count(*) FILTER (balance_gap IS NULL) AS n3, min(balance_gap) AS lo3, max(balance_gap) AS hi3,
+      avg(balance_gap) AS mean3 FROM src)
+    SELECT '-' AS "column", 'min_rows' AS "check", n::DOUBLE AS observed, n >= 1 AS ok FROM n
+    UNION ALL SELECT '-', 'columns', 4, true
+    UNION ALL SELECT 'c_phone', 'present', NULL, false
+    UNION ALL SELECT 'c_acctbal', 'missing_fraction', round(n1 / n, 4), n1 / n <= 0.15 FROM n
+    UNION ALL SELECT 'c_acctbal', 'nulls', n1, n1 = 0 FROM n
+    UNION ALL SELECT 'c_acctbal', 'non_numeric', 0, true
+    UNION ALL SELECT 'c_acctbal', 'minimum', round(lo, 4), lo >= 0 FROM n
+    UNION ALL SELECT 'c_acctbal', 'maximum', round(hi, 4), hi <= 9000 FROM n
+    UNION ALL SELECT 'c_acctbal', 'mean', round(mean, 4), true FROM n
+    UNION ALL SELECT 'segment', 'missing_fraction', round(n2 / n, 4), n2 / n <= 0.15 FROM n
+    UNION ALL SELECT 'segment', 'unexpected_rows', odd, odd = 0 FROM n
+    UNION ALL SELECT 'balance_gap', 'missing_fraction', round(n3 / n, 4), n3 / n <= 0.15 FROM n
+    UNION ALL SELECT 'balance_gap', 'nulls', n3, n3 = 0 FROM n
+    UNION ALL SELECT 'balance_gap', 'non_numeric', 0, true
+    UNION ALL SELECT 'balance_gap', 'minimum', round(lo3, 4), lo3 >= -2000 FROM n
+    UNION ALL SELECT 'balance_gap', 'maximum', round(hi3, 4), true FROM n
+    UNION ALL SELECT 'balance_gap', 'mean', round(mean3, 4), true FROM n"""
+
+
+def _written(report):
+    number = F.round(F.col("observed").try_cast("double"), 4)
+    return report.select(F.coalesce("column", F.lit("-")).alias("column"), "check", number.alias("observed"), "ok")
+
+
+@query("contract_on_write", _WRITTEN_SQL)
+def contract_on_write(spark, sf):
+    """The contract of a table, judged by the pass that writes it."""
+    return _written(contracts.write_checked(customer_view(spark, sf), work_dir(spark, "checked"), CUSTOMER_CONTRACT))
+
+
+@query("stream_contract_on_write", _WRITTEN_SQL)
+def stream_contract_on_write(spark, sf):
+    """The same on a stream: the customers arrive in one micro-batch, which is written and judged in one pass."""
+    schema = table(spark, sf, "customer").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "customer.parquet").parquet(sf)
+    root = work_dir(spark, "checked-stream")
+    contracts.write_checked_stream(gaps_in(stream), root, f"{root}/state", CUSTOMER_CONTRACT).awaitTermination()
+    found = spark.read.schema("dataset string, column string, check string, observed string, expected string, ok boolean, message string")
+    return _written(found.parquet(f"{root}/report"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import drift
+from ..operators import drift, sketches
 from ..operators.monitor import DAY, step_start
 from ..session import work_dir
 from .registry import query, table
@@ -251,3 +251,52 @@ def psi_by_day(spark, sf):
     )
 
 
+
+
+_FIRST_WEEK = "slot < (SELECT min(slot) FROM days) + 7 * 86400"
+_DAYS = "days AS (SELECT *, (floor(epoch(ts))::BIGINT // 86400) * 86400 AS slot FROM events)"
+#: The least value up to which a share of the rows lies; the sketch rounds places in the same way.
+_DISCRETE = f"[l[greatest(1, ceil(round(p * len(l), 7)))::INTEGER] for p in {_DECILES}]"
+
+
+def sketched_days(spark, sf):
+    """Daily sketches of the events, stored as a table, with the first day and the end of the first week."""
+    path = work_dir(spark, "daily-sketches")
+    sketches.sketch_table(table(spark, sf, "events"), "ts", ["value", "user_id"]).write.parquet(path)
+    stored_days = spark.read.schema(sketches.SCHEMA).parquet(path)
+    first = stored_days.agg(F.min("slot")).first()[0]
+    return stored_days, first, first + 6 * DAY
+
+
+@query(
+    "quantiles_of_days",
+    f"""
+    WITH {_DAYS},
+    v AS (SELECT 'value' AS feature, value::DOUBLE AS v FROM days WHERE {_FIRST_WEEK} UNION ALL SELECT 'user_id', user_id FROM days WHERE {_FIRST_WEEK}),
+    lists AS (SELECT feature, list(v ORDER BY v) AS l FROM v WHERE v IS NOT NULL GROUP BY feature)
+    SELECT feature, len(l) AS rows, unnest({_DECILES}) AS prob, unnest({_DISCRETE}) AS value FROM lists
+    """,
+)
+def quantiles_of_days(spark, sf):
+    """Deciles of a week from the sketches of its days. Exact while the week has no more rows than the sketch keeps (K); on
+    larger tables ranks are off by at most the sketch's error."""
+    days, first, last = sketched_days(spark, sf)
+    return sketches.quantiles(sketches.merged(days, first, last), [i / 10 for i in range(11)])
+
+
+@query(
+    "psi_sketched_days",
+    f"""
+    WITH {_DAYS}, {numeric_psi_sql([('value', 'value'), ('user_id', 'user_id::DOUBLE')], 'days', f'({_FIRST_WEEK})').replace(
+        f"list_sort(list_distinct(quantile_cont(v, {_DECILES}))) AS e", f"list_sort(list_distinct({_DISCRETE})) AS e"
+    ).replace("FROM nlong WHERE is_ref AND v IS NOT NULL GROUP BY feature)", "FROM (SELECT feature, list(v ORDER BY v) AS l FROM nlong WHERE is_ref AND v IS NOT NULL GROUP BY feature))")}
+    SELECT feature, round(psi, 5) AS psi FROM psi_num
+    """,
+)
+def psi_sketched_days(spark, sf):
+    """All later events against a profile of the first week, which is read from its daily sketches alone."""
+    days, first, last = sketched_days(spark, sf)
+    profile = sketches.profile_of(days, ["value", "user_id"], first, last)
+    events = table(spark, sf, "events")
+    current = events.where(step_start(events, "ts", DAY) > last)
+    return drift.psi_scores(profile, current).select("feature", F.round("psi", 5).alias("psi"))

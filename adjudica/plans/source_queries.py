@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ..operators.admission import FieldRule, RecordContract
 from ..session import work_dir
-from ..sources import payloads, reports, runs, synth, tables
-from .registry import query, table
+from ..sources import payloads, reports, runlog, runs, synth, tables
+from .registry import ORACLES, query, table
 
 
 @query(
@@ -202,6 +204,20 @@ def run_log_best(spark, sf):
     return runs.best_runs(spark.read.parquet(path), "cv_mean")
 
 
+@query("run_log_atomic", ORACLES["run_log_best"])
+def run_log_atomic(spark, sf):
+    """Runs committed to the log, and the same runs again with a child that fails: the log keeps the first write alone."""
+    folder = work_dir(spark, "run-log")
+    found = run_log(spark, sf)
+    runlog.append_run(found, folder)
+    lost = F.when(F.col("ordinal") == 1, F.raise_error(F.lit("this child is lost"))).otherwise(F.col("name"))
+    try:
+        runlog.append_run(found.withColumn("name", lost), folder)
+    except (PySparkException, Py4JJavaError):
+        pass
+    return runs.best_runs(runlog.read_runs(spark, folder), "cv_mean")
+
+
 @query(
     "fold_summary",
     """

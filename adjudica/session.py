@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ _ARROW = {
 
 _OWN: list[tempfile.TemporaryDirectory] = []
 _MADE: list[str] = []
+_SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def local_session(cores: int | str = 8, name: str = "adjudica", **conf: str) -> SparkSession:
@@ -39,9 +41,28 @@ def local_session(cores: int | str = 8, name: str = "adjudica", **conf: str) ->
         builder = builder.config(key, value)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
+    ship_package(session)
     return session
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, wherever they start; once for each Spark context."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    held = tempfile.TemporaryDirectory(prefix="adjudica-ship-")
+    archive = os.path.join(held.name, f"{os.path.basename(package)}.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)  # Spark takes the file to its workers
+    _SHIPPED[context.applicationId] = held
+
+
 def work_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

@@ -111,3 +111,15 @@ def test_results_do_not_depend_on_partitioning(spark):
         m.trailing_ratio(df.repartition(n), "ts", F.col("ok"), 60, 1800).orderBy("slot").collect() for n in (1, 17)
     ]
     assert ratios[0] == ratios[1]
+
+
+def test_a_stray_timestamp_does_not_stretch_an_alert(spark):
+    start = 1_704_067_200
+    rows = [(start + 60 * i, "Approved") for i in range(600)] + [(start - 10 * 365 * 86400, "Approved")]
+    df = spark.createDataFrame(rows, "at long, decision string").select(F.timestamp_seconds("at").alias("ts"), "decision")
+    approved = F.col("decision") == "Approved"
+    found = m.approval_rate_alert(df, "ts", approved, interval=(start, start + 600 * 60 - 60))
+    assert found.count() == 600
+    assert m.gauge_alert(
+        df.withColumn("v", F.lit(1.0)).withColumn("i", F.lit("x")), "ts", "v", "i", 120, interval=(start, start + 5940)
+    ).count() == 100
