@@ -15,9 +15,10 @@ On isotropic data the recall of the 20 nearest is above 0.9 for even and for une
 measure it against brute force); clustered data is easier.
 
 Defined results: vectors that are null, zero, or hold nulls or non-finite numbers take no
-part, nor do vectors of another dimension than most; rows without an id neither; of rows
-with the same id and vector one counts; fewer candidates than k are all returned; ties go to
-the smaller id; a table without queries gives no rows.
+part, rows without an id neither; vectors of different dimensions are searched apart, each against its like; every row
+is a candidate and a query of its own, also where an id or a vector repeats, and only the query's own row is left out;
+fewer candidates than k are all returned; ties go to the smaller id; a table without queries gives no rows; other columns,
+whatever their names, play no part.
 """
 
 from __future__ import annotations
@@ -45,8 +46,8 @@ QUERY_BLOCK = 512
 class CollisionIndex:
     """Sorted projections of one block of vectors."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, projections: int = PROJECTIONS):
-        self.ids, self.vectors, self.m = ids, vectors, projections
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, projections: int = PROJECTIONS):
+        self.rows, self.ids, self.vectors, self.m = rows, ids, vectors, projections
         self.directions = np.random.default_rng(11).standard_normal((vectors.shape[1] + 1, projections))
         squares = np.einsum("ij,ij->i", vectors, vectors)
         rest = np.sqrt(squares.max() - squares)
@@ -58,13 +59,13 @@ class CollisionIndex:
         self.unit = float(projected.std()) or 1.0
         self.largest = float(np.sqrt(squares.max()))
 
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(query id, ids, scores) of up to k nearest of the block for each query."""
+    def search(self, query_rows: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(query row, places in the block, scores) of up to k nearest of the block for each query."""
         n, need = len(self.ids), int(THRESHOLD * self.m + 0.5)
         wanted = min(n, k + 1 + int(SHARE * n))
         if wanted == n:
-            for query_id, query in zip(query_ids, queries):
-                yield self._verified(query_id, query, np.arange(n), k)
+            for row, query in zip(query_rows, queries):
+                yield self._verified(row, query, np.arange(n), k)
             return
         norms = np.sqrt(np.einsum("ij,ij->i", queries, queries))
         centres = (queries * (self.largest / norms)[:, None]) @ self.directions[:-1]
@@ -81,28 +82,26 @@ class CollisionIndex:
                 if len(found) < wanted:
                     open_.append(q)
                 else:
-                    yield self._verified(query_ids[q], queries[q], found, k)
+                    yield self._verified(query_rows[q], queries[q], found, k)
             pending, width = np.array(open_, int), width * GROWTH
 
-    def _verified(self, query_id, query, found, k):
-        found = found[self.ids[found] != query_id]
+    def _verified(self, row, query, found, k):
+        found = found[self.rows[found] != row]
         scores = self.vectors[found] @ query
         if len(found) > k:
             edge = np.partition(scores, len(scores) - k)[len(scores) - k]
             keep = scores >= edge
             found, scores = found[keep], scores[keep]
-        best = np.lexsort((self.ids[found], -scores))[:k]
-        return query_id, self.ids[found[best]], scores[best]
+        best = np.lexsort((self.rows[found], self.ids[found], -scores))[:k]
+        return row, found[best], scores[best]
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """(vec_id, embedding as doubles) of the vectors that take part."""
+    """(vec_id, embedding as doubles, dim) of the vectors that take part."""
     v = F.col(vector).cast("array<double>")
     rows = vectors.select(F.col(key).cast("long").alias("vec_id"), v.alias("embedding")).where("vec_id is not null and size(embedding) > 0")
     sound = F.forall("embedding", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) != float("inf")), F.lit(False)))
-    rows = rows.where(sound & F.exists("embedding", lambda x: x != 0)).dropDuplicates()
-    dims = rows.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return rows.where(F.size("embedding") == (dims.d if dims else 0))
+    return rows.where(sound & F.exists("embedding", lambda x: x != 0)).withColumn("dim", F.size("embedding"))
 
 
 def norm_blocks(counts: dict[int, int], k: int) -> list[tuple[int, int, int]]:
@@ -124,32 +123,43 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_i
     square = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
     # the squares of very small or large numbers leave the range of doubles
     norm = F.least(F.greatest(F.sqrt(square), F.lit(1e-150)), F.lit(1e150))
-    rows = stored(usable(vectors, key, vector).withColumn("norm", norm), "ann-vectors")
+    # numbers for rows: given once, when the table is written
+    rows = usable(vectors, key, vector).withColumn("norm", norm).withColumn("row", F.monotonically_increasing_id())
+    rows = stored(rows, "ann-vectors")
     facts = rows.agg(F.max("norm").alias("largest"), F.count(F.when(is_query, 1)).alias("queries")).first()
     query_blocks = parts_for(facts.queries, QUERY_BLOCK)
     steps = (F.log(F.lit(facts.largest or 1.0)) - F.log("norm")) / math.log(RATIO)
-    spread = rows.select("vec_id", "embedding", F.floor(steps).cast("int").alias("norm_class"), F.xxhash64("vec_id", "embedding").alias("h"))
-    dealt = norm_blocks({r.norm_class: r["count"] for r in spread.groupBy("norm_class").count().collect()}, k)
-    blocks = max((first + n for _, first, n in dealt), default=1)
-    places = vectors.sparkSession.createDataFrame(dealt, "norm_class int, first int, parts int")
+    spread = rows.select("row", "vec_id", "embedding", "dim", F.floor(steps).cast("int").alias("norm_class"), F.xxhash64("vec_id", "row").alias("h"))
+    counts: dict[int, dict[int, int]] = {}
+    for r in spread.groupBy("dim", "norm_class").count().collect():  # a row for each dimension and tenth of the norm
+        counts.setdefault(r.dim, {})[r.norm_class] = r["count"]
+    dealt, spans, blocks = [], [], 0
+    for dim, held in sorted(counts.items()):
+        own = norm_blocks(held, k)
+        dealt += [(dim, norm_class, blocks + first, parts) for norm_class, first, parts in own]
+        after = blocks + max(first + parts for _, first, parts in own)
+        spans.append((dim, blocks, after - 1))
+        blocks = after
+    spark = vectors.sparkSession
+    places = spark.createDataFrame(dealt, "dim int, norm_class int, first int, parts int")
     # twice the mean block fits the 16-bit ranks, whatever the hash does
-    placed = spread.join(F.broadcast(places), "norm_class")
-    data = placed.withColumn("block", F.col("first") + F.pmod("h", F.col("parts"))).groupBy("block").agg(
-        F.collect_list(F.struct("vec_id", "embedding")).alias("rows")
+    placed = spread.join(F.broadcast(places), ["dim", "norm_class"])
+    row = F.struct("row", "vec_id", "embedding")
+    data = placed.withColumn("block", F.col("first") + F.pmod("h", F.col("parts"))).groupBy("block").agg(F.collect_list(row).alias("rows"))
+    asked = spread.where(is_query).withColumn("part", F.pmod(F.shiftright("h", 20), F.lit(query_blocks))).groupBy("dim", "part").agg(
+        F.collect_list(row).alias("queries")
     )
-    asked = spread.where(is_query).withColumn("part", F.pmod(F.shiftright("h", 20), F.lit(query_blocks))).groupBy("part").agg(
-        F.collect_list(F.struct("vec_id", "embedding")).alias("queries")
-    )
-    # every block of queries goes to every block of vectors, by an equi-join
-    sent = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn("block", F.col("block").cast("long"))
+    # every block of queries goes to every block of vectors of its dimension, by an equi-join
+    ranges = spark.createDataFrame(spans, "dim int, low long, high long")
+    sent = asked.join(F.broadcast(ranges), "dim").withColumn("block", F.explode(F.sequence("low", "high"))).select("block", "queries")
     pairs = data.withColumn("block", F.col("block").cast("long")).join(sent, "block")
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+    schema = pa.schema([("query", pa.int64()), ("row", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def unpacked(column, i):
         held = column.slice(i, 1).flatten()
         values = held.field("embedding").flatten().to_numpy(zero_copy_only=False)
-        ids = held.field("vec_id").to_numpy(zero_copy_only=False)
-        return ids, values.reshape(len(ids), -1)
+        rows, ids = (held.field(c).to_numpy(zero_copy_only=False) for c in ("row", "vec_id"))
+        return rows, ids, values.reshape(len(ids), -1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, index = None, None
@@ -157,17 +167,22 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_i
             for i, block in enumerate(batch["block"].to_pylist()):
                 if block != last:
                     last, index = block, CollisionIndex(*unpacked(batch["rows"], i))
-                out = list(index.search(*unpacked(batch["queries"], i), k))
+                query_rows, _, queries = unpacked(batch["queries"], i)
+                out = list(index.search(query_rows, queries, k))
                 if out:
+                    found = np.concatenate([v for _, v, _ in out])
                     yield pa.record_batch(
                         [
                             pa.array(np.repeat([q for q, _, _ in out], [len(v) for _, v, _ in out]), pa.int64()),
-                            pa.array(np.concatenate([v for _, v, _ in out]), pa.int64()),
+                            pa.array(index.rows[found], pa.int64()),
+                            pa.array(index.ids[found], pa.int64()),
                             pa.array(np.concatenate([s for _, _, s in out]), pa.float64()),
                         ],
                         schema=schema,
                     )
 
-    found = pairs.mapInArrow(run, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = pairs.mapInArrow(run, "query long, row long, vec_id long, score double")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
+    best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    names = rows.where(is_query).select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"))
+    return best.join(names, "query").select("query_id", "rank", "vec_id", "score")

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batches_of, components, raw_text, stored
+from .shared import batches_of, components, discard, raw_text, stored
 
 GROUPS = 18
 PER_HALF = 3
@@ -230,7 +230,10 @@ def prefix_pairs(nodes: DataFrame, packed: DataFrame, percent: int) -> DataFrame
         & (100 * F.col("s.n") >= percent * F.col("l.n")) & ((100 + percent) * left >= percent * (F.col("s.n") + F.col("l.n")))
     )
     pairs = shorter.alias("s").join(longer.alias("l"), fits)
-    return pairs.select(F.greatest("s.node", "l.node").alias("a"), F.least("s.node", "l.node").alias("b")).distinct()
+    found = pairs.select(F.greatest("s.node", "l.node").alias("a"), F.least("s.node", "l.node").alias("b")).distinct()
+    out = stored(found, "minhash-pairs")
+    discard(sets, longer)
+    return out
 
 
 def share_key(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -271,24 +274,30 @@ def near_duplicates(docs: DataFrame, percent: int = 75, key: str = "doc_id", tex
     ends = dealt.select("node").distinct()
     packed = stored(pack_texts(docs, classes.join(ends, "node").select("node", "doc_id", "body"), key, text), "minhash-texts")
     links = stored(confirm(stars, packed, percent), "minhash-links")
-    roots = stored(components(ends, links), "minhash-roots")
+    roots = first_roots = stored(components(ends, links), "minhash-roots")
     # a hub does not link everything it meets: compare with a centre drawn in each of a third of the
     # buckets that still hold several components, so that large groups grow together
-    placed = stored(_unsettled(dealt, roots), "minhash-open")
+    placed = first_open = stored(_unsettled(dealt, roots), "minhash-open")
     draw = F.struct(F.xxhash64("bucket", "node").alias("h"), "node", "root", "n", "s1", "s2")
     drawn = placed.where(F.pmod(F.col("bucket"), F.lit(3)) == 0).groupBy("bucket").agg(F.max(draw).alias("c")).select("bucket", "c.*")
     apart = (F.col("m.bucket") == F.col("c.bucket")) & (F.col("m.root") != F.col("c.root")) & may_link(percent, "m", "c")
     second = placed.alias("m").join(drawn.alias("c"), apart).select(F.greatest("m.node", "c.node").alias("a"), F.least("m.node", "c.node").alias("b"))
     second = stored(second.distinct().join(stars, ["a", "b"], "left_anti"), "minhash-second")
     links = links.unionByName(stored(confirm(second, packed, percent), "minhash-links"))
-    roots = stored(components(ends, links), "minhash-roots")
+    roots = second_roots = stored(components(ends, links), "minhash-roots")
     # what is left, exactly: documents of buckets that still hold several components, by their rare shingles
     placed = _unsettled(dealt, roots)
     open_ = stored(placed.groupBy("node").agg(F.first("root").alias("root"), F.first("n").alias("n")), "minhash-open")
-    cross = share_key(prefix_pairs(open_, packed, percent), classes).join(stars.unionByName(second), ["a", "b"], "left_anti")
+    pairs = prefix_pairs(open_, packed, percent)
+    cross = share_key(pairs, classes).join(stars.unionByName(second), ["a", "b"], "left_anti")
     more = stored(confirm(cross, packed, percent), "minhash-more")
     if not more.isEmpty():
         roots = stored(components(ends, links.unionByName(more)), "minhash-roots")
+        discard(first_roots, second_roots)
+    else:
+        discard(first_roots)
+    # the result reads documents, classes and roots alone
+    discard(dealt, stars, packed, links, first_open, open_, pairs, second, more)
     rooted = classes.select("digest", "node").join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
     named = signed.join(rooted, "digest", "left")
     smallest = named.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import work_dir
+from ..session import work_dir, work_root
 
 #: A word of white-space separated text, as a Java and as a DuckDB pattern.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -37,6 +37,20 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Remove tables that ``stored`` wrote, once nothing is left to read them. What lies outside the shared folder stays."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        conf = spark._jsc.hadoopConfiguration()
+        root = path(work_root(spark))
+        root = root.getFileSystem(conf).makeQualified(root).toUri().getPath().rstrip("/") + "/"
+        for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+            held = path(folder)
+            if held.toUri().getPath().startswith(root):
+                held.getFileSystem(conf).delete(held, True)
+
+
 def text_bytes(docs: DataFrame, text: str) -> int:
     return docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
 
@@ -95,7 +109,9 @@ def components(nodes: DataFrame, edges: DataFrame, node: str = "node") -> DataFr
             .where("u <> v")
             .distinct()
         )
-        current = stored(small, "edges")
+        step = stored(small, "edges")
+        discard(current)
+        current = step
         state = current.agg(
             F.count(F.lit(1)).alias("n"), F.sum(F.hash("u", "v").cast("long")).alias("h"),
             F.sum(F.xxhash64("v", "u") % 1_000_003).alias("g"),

@@ -6,10 +6,13 @@ has-id (u8), id (i64), frame offset (u64), frame length (u32), ids (u64); at the
 number of documents (u64), the offset of the index (u64) and ``TIDS``. A reader that wants
 one document reads the index and that document's frame.
 
-Files are written by tasks into the shared folder under names of their own; the manifest, a
+The folder is the whole store: ``files``, ``manifest`` and ``head``, a row with the dictionary, its digest, the digest of the
+vocabulary file and the end id. Another process reads it with the folder's name alone, and refuses a damaged dictionary.
+
+Files are written by tasks into the folder under names of their own; the manifest, a
 table that Spark commits after all tasks, names the files that count, so the files of a lost
 attempt are never read. They are written through Arrow's file systems (local or mounted
-paths, hdfs, s3, gcs) and read back through Spark.
+paths, hdfs, s3, gcs), under the full address that Spark gives a path without a scheme, and read back through Spark.
 
 Defined results: a null or empty text has only the end id; a null id comes first; repeated
 rows are documents of their own, in any order among themselves; an empty table has no file.
@@ -44,6 +47,7 @@ _TAIL = "<QQ4s"
 SAMPLE_DOCUMENTS = 400
 SAMPLE_BYTES = 16_384
 DICTIONARY_BYTES = 65_536
+HEAD = "dictionary binary, dictionary_digest string, vocabulary_digest string, end_id int"
 
 
 @functools.lru_cache(maxsize=2)
@@ -80,8 +84,8 @@ class Encoder:
     def __call__(self, text: bytes) -> bytes:
         chunks, known = text.split(), self.chunks
         ids = list(map(known.get, chunks))
-        if None in ids:
-            gaps = [k for k, v in enumerate(ids) if v is None]
+        gaps = [k for k, v in enumerate(ids) if v is None]
+        if gaps:
             here = self._encode(list(dict.fromkeys([chunks[k] for k in gaps])))
             for k in gaps:
                 ids[k] = here[chunks[k]]
@@ -190,14 +194,19 @@ def write_documents(
     file_bytes: int = 8_000_000,
     key: str = "doc_id",
     text: str = "text",
+    folder: str | None = None,
 ) -> tuple[str, bytes]:
     """Write all documents in ascending id order; returns the folder and the dictionary.
 
-    Texts are encoded and compressed where they are read: only compressed ids are shuffled.
+    Without a ``folder`` the store is an intermediate one below the shared root. Texts are encoded and compressed where
+    they are read: only compressed ids are shuffled.
     """
     spark = docs.sparkSession
     dictionary = train_dictionary(docs, tokenizer, end_id, key, text)
-    folder = work_dir(spark, "token-ids")
+    folder = full_address(spark, folder or work_dir(spark, "token-ids"))
+    with open(tokenizer, "rb") as vocabulary:
+        head = (bytearray(dictionary), _digest(dictionary).hex(), hashlib.sha256(vocabulary.read()).hexdigest(), end_id)
+    spark.createDataFrame([head], HEAD).coalesce(1).write.parquet(f"{folder}/head")
     schema = pa.schema([("has_id", pa.int8()), ("id", pa.int64()), ("tie", pa.int64()), ("ids", pa.int64()), ("frame", pa.binary())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,6 +263,22 @@ def write_documents(
     return folder, dictionary
 
 
+def full_address(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme and authority that Spark's own file system would use for it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    address = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub(r"^file:/+", "file:///", address)
+
+
+def read_head(spark: SparkSession, folder: str) -> tuple[bytes, str, int]:
+    """(dictionary, digest of the vocabulary file, end id) of a store."""
+    head = spark.read.schema(HEAD).parquet(f"{folder}/head").first()
+    dictionary = bytes(head.dictionary)
+    if _digest(dictionary).hex() != head.dictionary_digest:
+        raise ValueError(f"{folder}: the dictionary is damaged")
+    return dictionary, head.vocabulary_digest, head.end_id
+
+
 def _digest(dictionary: bytes) -> bytes:
     return hashlib.sha256(dictionary).digest() if dictionary else bytes(32)
 
@@ -286,8 +311,10 @@ def read_ids(content: bytes, entry: np.void, dictionary: bytes) -> bytes:
     return zstandard.ZstdDecompressor(dict_data=_dictionary(dictionary)).decompress(frame)
 
 
-def read_documents(spark: SparkSession, folder: str, dictionary: bytes) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, decoded from the files."""
+def read_documents(spark: SparkSession, folder: str, dictionary: bytes | None = None) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of every document, decoded from the files. The dictionary is the folder's own, if none is given."""
+    if dictionary is None:
+        dictionary = read_head(spark, folder)[0]
     manifest = spark.read.schema("part int, number int, file string, documents long, ids long").parquet(f"{folder}/manifest")
     # one row per file; a file holds megabytes, so this window is small
     before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)

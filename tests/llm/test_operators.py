@@ -397,6 +397,26 @@ def test_token_store_round_trip(spark, docs, rows, empty):
     assert token_store.read_documents(spark, folder, dictionary).count() == 0
 
 
+def test_a_second_process_reads_the_folder_alone(spark, docs, tmp_path):
+    import json
+    import os
+    import subprocess
+    import sys
+
+    folder, _ = token_store.write_documents(docs, tokenizer_path(), folder=str(tmp_path / "store"))
+    assert folder == f"file://{tmp_path}/store"
+    want = sorted([r.n_tokens, r.ids_crc32] for r in token_store.read_documents(spark, folder).collect())
+    code = (
+        "import sys, json; from adjudica.session import local_session; from adjudica.llm import token_store; "
+        "s = local_session(2); r = token_store.read_documents(s, sys.argv[1]).collect(); "
+        "print('found', json.dumps(sorted([x.n_tokens, x.ids_crc32] for x in r)))"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code, str(tmp_path / "store")], cwd=root, capture_output=True, text=True, timeout=300)
+    found = [line for line in out.stdout.splitlines() if line.startswith("found ")]
+    assert found and json.loads(found[0][6:]) == want, out.stderr[-2000:]
+
+
 def test_dictionary_of_long_texts(spark):
     long = [(i, prose(600 + i, 12_000)) for i in range(8)]
     assert all(len(t) > token_store.SAMPLE_BYTES for _, t in long)
@@ -515,7 +535,7 @@ def test_nearest_neighbours(spark):
     vectors = rng.standard_normal((3000, 24))
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
     rows[7] = (7, rows[6][1])
-    odd = [(5000, None), (5020, [0.0] * 24), (5040, [float("nan")] * 24), (5060, [1.0] * 23 + [None]), (5080, [1.0, 2.0]), (None, [1.0] * 24), rows[40], (5100, [])]
+    odd = [(5000, None), (5020, [0.0] * 24), (5040, [float("nan")] * 24), (5060, [1.0] * 23 + [None]), (5080, [1.0, 2.0]), (None, [1.0] * 24), (5100, [])]
     df = spark.createDataFrame([r + ("x", "y") for r in rows + odd], "vec_id long, embedding array<double>, block string, queries string")
     got: dict = {}
     for r in collision_ann.nearest(df, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
@@ -536,6 +556,21 @@ def test_nearest_neighbours(spark):
     assert collision_ann.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_nearest_neighbours_of_repeated_rows_and_several_dimensions(spark):
+    """Small tables are verified whole: the ranking equals brute force, row by row."""
+    rng = np.random.default_rng(26)
+    rows = [(i, rng.standard_normal(3 + i % 3).tolist()) for i in range(0, 60, 5)]
+    rows += [rows[0], rows[4], rows[4], (20, rng.standard_normal(3).tolist()), (40, rows[8][1])]
+    df = spark.createDataFrame([r + (1, "x") for r in rows], "vec_id long, embedding array<double>, row int, dim string").repartition(4)
+    found = Counter((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in collision_ann.nearest(df, F.col("vec_id") % 20 == 0, 5).collect())
+    want: Counter = Counter()
+    for a, (query, q) in enumerate(rows):
+        if query % 20 == 0:
+            scored = sorted((-float(np.dot(v, q)), i) for b, (i, v) in enumerate(rows) if b != a and len(v) == len(q))
+            want.update((query, k, i, round(-s, 9)) for k, (s, i) in enumerate(scored[:5], 1))
+    assert found == want and max(want.values()) > 1
+
+
 @pytest.mark.parametrize("norms", ["one outlier", "lognormal"])
 def test_nearest_neighbours_of_uneven_norms(spark, norms):
     rng = np.random.default_rng(16)
