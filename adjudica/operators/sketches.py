@@ -7,6 +7,7 @@ that is off by at most ``rank_error(k)`` of the rows, with 99 % confidence, howe
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -53,19 +54,22 @@ def merged(sketches: DataFrame, first: int | None = None, last: int | None = Non
 
 def quantiles(merged_sketches: DataFrame, probs: Sequence[float]) -> DataFrame:
     """(feature, rows, prob, value): the least value with at least that share of the rows up to it, within the rank error."""
-    places = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
-    held = merged_sketches.select("feature", "rows", "sketch", places.alias("prob"))
-    return held.select("feature", "rows", "prob", F.kll_sketch_get_quantile_double("sketch", F.col("prob")).alias("value"))
+    places = F.lit([float(p) for p in probs])
+    found = F.arrays_zip(places.alias("prob"), F.kll_sketch_get_quantile_double("sketch", places).alias("value"))
+    return merged_sketches.select("feature", "rows", F.inline(found).alias("prob", "value"))
 
 
 def shares(merged_sketches: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
     """(feature, bucket, share) of left-closed buckets between the inner edges, from the ranks of the edges."""
-    table = merged_sketches.sparkSession.createDataFrame([(f, list(map(float, e))) for f, e in edges.items()], "feature string, edges array<double>")
-    held = merged_sketches.join(F.broadcast(table), "feature")  # a row for each feature
-    # the largest number below an edge is still on its left
-    below = F.transform("edges", lambda e: F.kll_sketch_get_rank_double("sketch", e - F.greatest(F.abs(e) * 2.0**-52, F.lit(5e-324))))
-    bounds = F.concat(F.array(F.lit(0.0)), below, F.array(F.lit(1.0)))
-    each = held.select("feature", F.posexplode(F.zip_with(F.slice(bounds, 2, F.size("edges") + 1), F.slice(bounds, 1, F.size("edges") + 1), lambda b, a: b - a)).alias("bucket", "share"))
+    below = F.lit(None).cast("array<double>")
+    for feature, inner in edges.items():
+        # the largest number below an edge is still on its left
+        left = F.lit([math.nextafter(float(e), -math.inf) for e in inner])
+        below = F.when(F.col("feature") == feature, F.kll_sketch_get_rank_double("sketch", left)).otherwise(below)
+    ranks = merged_sketches.select("feature", below.alias("below")).where("below is not null")
+    upto = F.concat("below", F.array(F.lit(1.0)))
+    since = F.concat(F.array(F.lit(0.0)), "below")
+    each = ranks.select("feature", F.posexplode(F.zip_with(upto, since, lambda b, a: b - a)).alias("bucket", "share"))
     return each.where("share > 0").select("feature", F.col("bucket").cast("string").alias("bucket"), "share")
 
 
