@@ -41,19 +41,9 @@ _XOR = _rng.integers(0, 2**63, 2 * GROUPS * PER_HALF, np.uint64)
 _MULTIPLY = _rng.integers(0, 2**63, 2 * GROUPS * PER_HALF, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered up to a bound."""
-
-    bound = 300_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.bound:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words; quicker than to look them up in a memory of many words."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def shingles(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
@@ -98,12 +88,10 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("body", pa.string()), ("digest", pa.string()), ("n_shingles", pa.int64()), ("halves", pa.list_(pa.int64())), ("s1", pa.int64()), ("s2", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-
         def rows():
             for batch in batches:
                 for doc, body, value in zip(batch["doc_id"].to_pylist(), batch["body"].to_pylist(), batch["text"]):
-                    s = shingles(hashes.of(value.as_py().lower().split()))
+                    s = shingles(word_hashes(value.as_py().lower().split()))
                     if len(s):
                         low = minhashes(s)
                         yield doc, body, xxhash.xxh3_128_hexdigest(s.tobytes()), len(s), halves(low), *sketch(low)
@@ -150,10 +138,10 @@ def confirm(pairs: DataFrame, packed: DataFrame, percent: int) -> DataFrame:
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, unpack = WordHashes(), zstandard.ZstdDecompressor()
+        unpack = zstandard.ZstdDecompressor()
 
         def set_of(value):
-            return shingles(hashes.of(unpack.decompress(value.as_py()).lower().split()))
+            return shingles(word_hashes(unpack.decompress(value.as_py()).lower().split()))
 
         def rows():
             last, set_b = None, None
@@ -192,10 +180,10 @@ def shingle_sets(nodes: DataFrame, packed: DataFrame) -> DataFrame:
     schema = pa.schema([("node", pa.int64()), ("shingle", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, unpack = WordHashes(), zstandard.ZstdDecompressor()
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             for node, value in zip(batch["node"].to_pylist(), batch["packed"]):
-                s = shingles(hashes.of(unpack.decompress(value.as_py()).lower().split())).view(np.int64)
+                s = shingles(word_hashes(unpack.decompress(value.as_py()).lower().split())).view(np.int64)
                 for at in range(0, len(s), 100_000):
                     part = s[at : at + 100_000]
                     yield pa.record_batch([pa.array(np.full(len(part), node)), pa.array(part)], schema=schema)
