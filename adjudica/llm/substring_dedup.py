@@ -28,23 +28,14 @@ WINDOW = 35
 RUN = 6
 
 
-class Words(dict):
-    """64-bit hashes of words, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 300_000:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word, 7)
-        return value
-
-
-_words = Words()
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words; quicker than to look them up in a memory of many words."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def word_units(text: bytes):
     words = text.split()
-    units = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
-    return units, lambda a, b: b" ".join(words[a:b])
+    return word_hashes(words), lambda a, b: b" ".join(words[a:b])
 
 
 def deep_starts(words: np.ndarray, left: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
@@ -82,7 +73,7 @@ def repeats_in_shard(texts: list[bytes], counts: np.ndarray, window: int = WINDO
     """For each span the runs of starts whose ``window`` words occur at more than one place."""
     split = [t.split() for t in texts]
     sizes = np.array([len(w) for w in split])
-    words = np.fromiter((_words[w] for ws in split for w in ws), np.uint64, int(sizes.sum()))
+    words = np.concatenate([np.empty(0, np.uint64), *map(word_hashes, split)])
     owner = np.repeat(np.arange(len(texts)), sizes)
     place = np.arange(len(words)) - (np.cumsum(sizes) - sizes)[owner]
     starts = deep_starts(words, sizes[owner] - place, counts[owner], window)
