@@ -77,6 +77,26 @@ def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeat_digests(table(spark, sf_dir, "documents"))
 
 
+#: Every 200-byte window of the hex form by its digest; windows that occur again cover islands of bytes.
+BYTES_SQL = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(coalesce(text, '')) AS h FROM documents),
+w AS (
+  SELECT rid, i, md5(substr(h, 2 * i + 1, 400)) AS g
+  FROM (SELECT rid, h, unnest(range(0, len(h) // 2 - 199)) AS i FROM d)),
+r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY g) AS n FROM w) WHERE n > 1),
+m AS (SELECT rid, i, i > coalesce(lag(i) OVER (PARTITION BY rid ORDER BY i) + 200, -1) AS opens FROM r),
+s AS (
+  SELECT rid, min(i) AS lo, max(i) + 200 AS hi
+  FROM (SELECT rid, i, count_if(opens) OVER (PARTITION BY rid ORDER BY i) AS k FROM m) GROUP BY rid, k),
+c AS (
+  SELECT rid, count(*) AS n, sum(hi - lo) AS removed, max(hi) AS last, string_agg(substr(h, 2 * past + 1, 2 * (lo - past)), '' ORDER BY lo) AS kept
+  FROM (SELECT rid, h, lo, hi, coalesce(lag(hi) OVER (PARTITION BY rid ORDER BY lo), 0) AS past FROM s JOIN d USING (rid)) GROUP BY rid)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN c USING (rid)
+"""
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -158,6 +178,27 @@ def op7_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeat_digests(table(spark, sf_dir, "documents"))
 
 
+#: The same over words: every window of 35 words by the digest of its words.
+WORDS_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+x AS (
+  SELECT rid, i, md5(array_to_string(w[i + 1 : i + 35], ' ')) AS g
+  FROM (SELECT rid, w, unnest(range(0, len(w) - 34)) AS i FROM d)),
+r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY g) AS n FROM x) WHERE n > 1),
+m AS (SELECT rid, i, i > coalesce(lag(i) OVER (PARTITION BY rid ORDER BY i) + 35, -1) AS opens FROM r),
+s AS (
+  SELECT rid, min(i) AS lo, max(i) + 35 AS hi
+  FROM (SELECT rid, i, count_if(opens) OVER (PARTITION BY rid ORDER BY i) AS k FROM m) GROUP BY rid, k),
+c AS (
+  SELECT rid, sum(hi - lo) AS removed, max(hi) AS last, flatten(list(w[past + 1 : lo] ORDER BY lo)) AS kept
+  FROM (SELECT rid, w, lo, hi, coalesce(lag(hi) OVER (PARTITION BY rid ORDER BY lo), 0) AS past FROM s JOIN d USING (rid)) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(removed, 0)::BIGINT AS n_removed,
+       sha256(array_to_string(list_concat(coalesce(kept, []), w[coalesce(last, 0) + 1 :]), ' ')) AS kept_sha256
+FROM d LEFT JOIN c USING (rid)
+"""
+
+
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, dictionary = token_store.write_documents(table(spark, sf_dir, "documents"), tokenizer_path())
     return token_store.read_documents(spark, folder, dictionary)
@@ -228,7 +269,9 @@ QUERIES = {
 }
 ORACLES = {
     "op2_license_scan": license_sql(),
+    "op3_suffix_array": BYTES_SQL,
     "op5_near_dedup": NEAR_SQL,
     "op6_mix_curriculum": MIX_SQL,
+    "op7_suffix_tree": WORDS_SQL,
     "op12_hard_negatives": NEGATIVES_SQL,
 }
