@@ -68,6 +68,54 @@ _WORD = re.compile(rb"%b+" % _LETTERS)
 _PIECES = re.compile(rb"%b+|(?:(?!%b)[\x00-\xff])+" % (_LETTERS, _LETTERS))
 
 
+class _Chunks(dict):
+    """Ids of a chunk, encoded when it is first asked for and remembered if short."""
+
+    def __init__(self, path: str, remembered: int):
+        super().__init__()
+        self.remembered = remembered
+        self.pieces: dict[bytes, bytes] = {}
+        self.tokenizer = _tokenizer(path)
+        # neither normaliser nor splitter changes a run of small letters: straight to the merges
+        self.merges = self.tokenizer.model.tokenize
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        low = chunk.lower()
+        if low.isalpha():
+            ids = self.pieces.get(low) or self._piece(low)
+        elif low[:-1].isalpha() and low[-1] in b".,;:!?":
+            ids = (self.pieces.get(low[:-1]) or self._piece(low[:-1])) + (self.pieces.get(low[-1:]) or self._piece(low[-1:]))
+        elif _SIMPLE.fullmatch(low):
+            known = self.pieces
+            ids = b"".join([known.get(p) or self._piece(p) for p in _PIECES.findall(low)])
+        else:
+            ids = self._whole(chunk)
+        if len(chunk) <= 48:
+            if len(self) >= self.remembered:
+                self.clear()
+            self[chunk] = ids
+        return ids
+
+    def _piece(self, piece: bytes) -> bytes:
+        if piece.isalpha():
+            ids = array("I", [t.id for t in self.merges(piece.decode())]).tobytes()
+        elif _WORD.fullmatch(piece):
+            # one splitter word, in the form that the splitter hands on
+            ((form, _),) = self.tokenizer.pre_tokenizer.pre_tokenize_str(piece.decode().lower())
+            ids = array("I", [t.id for t in self.merges(form)]).tobytes()
+        else:
+            ids = self._whole(piece)
+        if len(piece) <= 48:
+            if len(self.pieces) >= 2 * self.remembered:
+                self.pieces.clear()
+            self.pieces[piece] = ids
+        return ids
+
+    def _whole(self, text: bytes) -> bytes:
+        encoded = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False)
+        return array("I", encoded.ids).tobytes()
+
+
 class Encoder:
     """Ids of a text as little-endian u32 bytes.
 
@@ -77,60 +125,10 @@ class Encoder:
     """
 
     def __init__(self, path: str, remembered: int = 400_000):
-        self.path, self.remembered = path, remembered
-        self.chunks: dict[bytes, bytes] = {}
-        self.pieces: dict[bytes, bytes] = {}
+        self.ids_of = _Chunks(path, remembered).__getitem__
 
     def __call__(self, text: bytes) -> bytes:
-        chunks, known = text.split(), self.chunks
-        ids = list(map(known.get, chunks))
-        gaps = [k for k, v in enumerate(ids) if v is None]
-        if gaps:
-            here = self._encode(list(dict.fromkeys([chunks[k] for k in gaps])))
-            for k in gaps:
-                ids[k] = here[chunks[k]]
-            if len(known) + len(here) > self.remembered:
-                known.clear()
-            known.update((c, v) for c, v in here.items() if len(c) <= 48)
-        return b"".join(ids)
-
-    def _encode(self, chunks: list[bytes]) -> dict[bytes, bytes]:
-        cut = {}
-        for c in chunks:
-            low = c.lower()
-            if low.isalpha():
-                cut[c] = [low]
-            elif low[:-1].isalpha() and low[-1] in b".,;:!?":
-                cut[c] = [low[:-1], low[-1:]]
-            else:
-                cut[c] = _PIECES.findall(low) if _SIMPLE.fullmatch(low) else [c]
-        pieces = self.pieces
-        new = [p for p in dict.fromkeys(p for ps in cut.values() for p in ps) if p not in pieces]
-        if len(pieces) + len(new) > 2 * self.remembered:
-            pieces.clear()
-            new = list(dict.fromkeys(p for ps in cut.values() for p in ps))
-        tokenizer = _tokenizer(self.path)
-        # neither normaliser nor splitter changes a run of ASCII small letters: straight to the merges
-        merges, fresh, lettered, other = tokenizer.model.tokenize, {}, [], []
-        for p in new:
-            if p.isalpha() and p.islower():
-                fresh[p] = array("I", [t.id for t in merges(p.decode())]).tobytes()
-            elif _WORD.fullmatch(p):
-                lettered.append(p)
-            else:
-                other.append(p)
-        if lettered:  # one splitter word each, told apart by their numbers
-            found = tokenizer.encode(b" ".join(lettered).decode(), add_special_tokens=False)
-            parts: list[list[int]] = [[] for _ in lettered]
-            for word, token in zip(found.word_ids, found.ids):
-                parts[word].append(token)
-            fresh.update((p, array("I", ids).tobytes()) for p, ids in zip(lettered, parts))
-        if other:
-            encoded = tokenizer.encode_batch([p.decode("utf-8", "replace") for p in other], add_special_tokens=False)
-            fresh.update((p, array("I", e.ids).tobytes()) for p, e in zip(other, encoded))
-        out = {c: b"".join([fresh[p] if p in fresh else pieces[p] for p in ps]) for c, ps in cut.items()}
-        pieces.update((p, ids) for p, ids in fresh.items() if len(p) <= 48)
-        return out
+        return b"".join(map(self.ids_of, text.split()))
 
 
 @functools.lru_cache(maxsize=2)

@@ -434,6 +434,11 @@ def test_encoder_equals_the_tokenizer():
     for _ in range(1500):
         text = "".join(rng.choice(letters, 40))
         assert encode(text.encode()) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    latin = [chr(c) for c in range(0x21, 0x180)]
+    for text in [*latin, *["".join(rng.choice(latin, n)) for n in (2, 3, 5, 60) for _ in range(500)], "<|ENDOFTEXT|> x<|endoftext|>y <|endoftext|>"]:
+        assert encode(text.encode()) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    words = ["".join(rng.choice(list("aeiíàéßÍÉz"), 6)) + str(rng.choice(["", ",", "?!", "'s"])) for _ in range(500)]
+    assert encode(" ".join(words).encode()) == np.array(tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4").tobytes()
 
 
 def test_language_id(spark, empty):
