@@ -106,7 +106,7 @@ class _Chunks(dict):
         else:
             ids = self._whole(piece)
         if len(piece) <= 48:
-            if len(self.pieces) >= 2 * self.remembered:
+            if len(self.pieces) >= self.remembered:
                 self.pieces.clear()
             self.pieces[piece] = ids
         return ids
@@ -124,7 +124,7 @@ class Encoder:
     letters and other characters, and the ids of short chunks and pieces are remembered.
     """
 
-    def __init__(self, path: str, remembered: int = 400_000):
+    def __init__(self, path: str, remembered: int = 300_000):
         self.ids_of = _Chunks(path, remembered).__getitem__
 
     def __call__(self, text: bytes) -> bytes:
