@@ -106,3 +106,16 @@ def test_batch_size(spark):
     assert {r.id: r.violation for r in rejected.collect()} == {0: "batch: at least 1 record", 1001: "batch: at most 1000 records"}
     shown = df.select(admission.batch_size_violation(F.col("batch")).alias("v")).collect()
     assert [r.v for r in shown] == ["batch: at least 1 record", None, None, "batch: at most 1000 records"]
+
+
+def test_a_filter_on_the_violations_repeats_no_step(spark):
+    """Pushed below the steps, it took a copy of each along and read every body once for each rule."""
+    bodies = spark.createDataFrame([(0, json.dumps(GOOD)), (1, "{}"), (2, "no object"), (3, None)], "id int, body string")
+    parsed = from_payloads(bodies, "body", LOAN_RECORD, ["id"])
+
+    def reads(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("try_variant_get")
+
+    admitted, refused = [parsed.where(F.size("violations") == 0), parsed.where(F.size("violations") > 0)]
+    assert reads(admitted) == reads(refused) == reads(parsed) > 0
+    assert [r.id for r in admitted.collect()] == [0] and sorted(r.id for r in refused.collect()) == [1, 2, 3]
