@@ -441,6 +441,40 @@ def test_encoder_equals_the_tokenizer():
     assert encode(" ".join(words).encode()) == np.array(tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_encoder_in_blocks_equals_the_tokenizer(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_store, "BLOCK_BYTES", 300)
+    tokenizer, encode = Tokenizer.from_file(tokenizer_path()), token_store.Encoder(tokenizer_path(), remembered=40)
+    words = ["The", "river's", "été", "ÉTÉ,", "straße!?", "x2", "<|endoftext|>", "a<|", "J\u030c", "\u00a0", "日本語", "\x00z", "don't", "(so)", "o" * 60, "***", "'"]
+    rng = np.random.default_rng(3)
+    texts = ["", "  \n", *(" ".join(rng.choice(words, n)) for n in (1, 3, 30, 5, 400, 8) for _ in range(12)), "q" * 1000, "end \t\x0b"]
+    raw = [*(t.encode() for t in texts), b"caf\xe9, \xff\xfe ok\xc3 z" * 40]
+    want = [np.array(tokenizer.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes() for t in raw]
+    assert list(encode.each(raw)) == want
+    assert [encode(t) for t in raw[::-1]] == want[::-1]
+
+
+def test_a_block_needs_one_call_for_all_its_new_words():
+    class Counted:
+        calls = 0
+
+        def __init__(self, merges):
+            self.merges = merges
+
+        def encode_batch_fast(self, *args, **named):
+            Counted.calls += 1
+            return self.merges.encode_batch_fast(*args, **named)
+
+    encode = token_store.Encoder(tokenizer_path())
+    encode.merges = Counted(encode.merges)
+    rng = np.random.default_rng(4)
+    texts = [" ".join("".join(rng.choice(list("aeinrsté"), 9)) + "," for _ in range(50)).encode() for _ in range(40)]
+    first = list(encode.each(texts))
+    assert Counted.calls == 1
+    assert list(encode.each(texts)) == first and Counted.calls == 1  # remembered
+
+
 def test_language_id(spark, empty):
     rng = np.random.default_rng(0)
     words = {"en": "the of and thing river when other light", "de": "der und nicht schön über straße wenn auch", "fr": "le où été garçon avec très nous quand"}
