@@ -473,6 +473,8 @@ def test_a_block_needs_one_call_for_all_its_new_words():
     first = list(encode.each(texts))
     assert Counted.calls == 1
     assert list(encode.each(texts)) == first and Counted.calls == 1  # remembered
+    encode.forget()
+    assert list(encode.each(texts)) == first and Counted.calls == 2
 
 
 def test_language_id(spark, empty):
