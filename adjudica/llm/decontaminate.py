@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batches_of, parts_for, raw_text
+from .shared import batches_of, parts_for, raw_text, releasing
 
 THRESHOLD = 0.5
 OVERLAP = 0.5
@@ -172,7 +172,7 @@ def _vocabulary_counts(docs: DataFrame, vocabulary: frozenset[bytes], text: str)
                 counts.update(vocabulary.intersection(words_of(value.as_py())))
         yield from batches_of(iter(counts.items()), schema)
 
-    found = docs.select(raw_text(text).alias("text")).mapInArrow(run, "word binary, n long")
+    found = docs.select(raw_text(text).alias("text")).mapInArrow(releasing(run), "word binary, n long")
     return {bytes(r.word): r.n for r in found.groupBy("word").agg(F.sum("n").alias("n")).collect()}
 
 
@@ -265,7 +265,7 @@ def find_leaks(
 
             yield from batches_of(found(), schema)
 
-        part = rows.mapInArrow(run, columns)
+        part = rows.mapInArrow(releasing(run), columns)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else docs.sparkSession.createDataFrame([], columns)
 
@@ -286,5 +286,5 @@ def without_leaks(
                 clean = [not any(matches_in(words, index, stride, overlap) for index, stride in classes) for words in texts]
                 yield batch.filter(pa.array(clean, pa.bool_())).drop_columns(["_bytes"])
 
-        kept = kept.withColumn("_bytes", raw_text(body)).mapInArrow(run, kept.schema)
+        kept = kept.withColumn("_bytes", raw_text(body)).mapInArrow(releasing(run), kept.schema)
     return kept.toDF(*names)

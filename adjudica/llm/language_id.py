@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batches_of, draw_bound, raw_text, remainder_of_id
+from .shared import batches_of, draw_bound, raw_text, releasing, remainder_of_id
 
 FEATURES = 1 << 14
 _MULTIPLIERS = np.array([2654435761, 2246822519, 3266489917], np.uint32)
@@ -129,7 +129,7 @@ def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
         if rows:
             yield pa.record_batch([pa.array(range(-1, FEATURES), pa.int32()), pa.array([rows, *totals.tolist()], pa.int64())], schema=schema)
 
-    counted = texts.mapInArrow(count, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()
+    counted = texts.mapInArrow(releasing(count), "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(FEATURES, np.int64)
     total = 0
     for r in counted:
@@ -154,7 +154,7 @@ def counted_sample(sample: DataFrame) -> list[tuple[str, tuple[np.ndarray, np.nd
         yield from batches_of(rows(), schema, 200)
 
     drawn = sample.select("lang", "draw", raw_text("text").alias("text")).distinct()
-    found = drawn.mapInArrow(count, "lang string, draw long, columns binary, counts binary").collect()
+    found = drawn.mapInArrow(releasing(count), "lang string, draw long, columns binary, counts binary").collect()
     found.sort(key=lambda r: (r.draw, r.lang, r["columns"], r.counts))
     return [(r.lang, (np.frombuffer(r["columns"], "<u2").astype(np.int64), np.frombuffer(r.counts, "<u4").astype(np.int64))) for r in found]
 
@@ -214,7 +214,7 @@ def predict(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: st
     from pyspark.sql.types import DoubleType, StringType, StructType
 
     schema = StructType([*schema_of.schema.fields]).add("lang_pred", StringType()).add("score", DoubleType())
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(releasing(run), schema)
 
 
 def fit_predict(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", held: int = 2, divisor: int = 4) -> DataFrame:

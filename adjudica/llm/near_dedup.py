@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batches_of, components, discard, raw_text, stored
+from .shared import batches_of, components, discard, raw_text, releasing, stored
 
 GROUPS = 18
 PER_HALF = 3
@@ -102,7 +102,7 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     read = docs.select(F.col(key).cast("long").alias("doc_id"), raw_text(text).alias("text"))
     return read.select("doc_id", F.md5("text").alias("body"), "text").mapInArrow(
-        run, "doc_id long, body string, digest string, n_shingles long, halves array<long>, s1 long, s2 long"
+        releasing(run), "doc_id long, body string, digest string, n_shingles long, halves array<long>, s1 long, s2 long"
     )
 
 
@@ -156,7 +156,7 @@ def confirm(pairs: DataFrame, packed: DataFrame, percent: int) -> DataFrame:
 
         yield from batches_of(rows(), schema)
 
-    return full.mapInArrow(run, "a long, b long")
+    return full.mapInArrow(releasing(run), "a long, b long")
 
 
 def pack_texts(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
@@ -169,7 +169,7 @@ def pack_texts(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataF
             yield pa.record_batch([batch["doc_id"], batch["body"], packed], names=["doc_id", "body", "packed"])
 
     read = docs.select(F.col(key).cast("long").alias("doc_id"), raw_text(text).alias("text")).select("doc_id", F.md5("text").alias("body"), "text")
-    rows = read.mapInArrow(run, "doc_id long, body string, packed binary").alias("d")
+    rows = read.mapInArrow(releasing(run), "doc_id long, body string, packed binary").alias("d")
     w = wanted.alias("w")
     same = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.body") == F.col("w.body"))
     return rows.join(w, same).select("w.node", "d.packed").dropDuplicates(["node"])
@@ -188,7 +188,7 @@ def shingle_sets(nodes: DataFrame, packed: DataFrame) -> DataFrame:
                     part = s[at : at + 100_000]
                     yield pa.record_batch([pa.array(np.full(len(part), node)), pa.array(part)], schema=schema)
 
-    return packed.join(nodes.select("node"), "node", "left_semi").mapInArrow(run, "node long, shingle long")
+    return packed.join(nodes.select("node"), "node", "left_semi").mapInArrow(releasing(run), "node long, shingle long")
 
 
 def prefix_pairs(nodes: DataFrame, packed: DataFrame, percent: int) -> DataFrame:

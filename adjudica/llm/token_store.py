@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from .shared import batches_of, draw_bound, parts_for, raw_text, record_batch, stored, text_bytes
+from .shared import batches_of, draw_bound, parts_for, raw_text, record_batch, releasing, stored, text_bytes
 
 MAGIC = b"TIDS"
 _HEAD = "<4sB32s"
@@ -119,7 +119,6 @@ class Encoder:
     def forget(self) -> None:
         """Give memory back: the worker process goes on to other stages."""
         self.known, self.older = {}, {}
-        pa.default_memory_pool().release_unused()
 
     def _block(self, texts: list[bytes]) -> list[bytes]:
         # a view, as the stored bytes need not be valid UTF-8
@@ -242,7 +241,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, key: str, tex
         encode.forget()
 
     drawn = held.withColumn("chosen", chosen).where(F.size("chosen") > 0).dropDuplicates(["draw"])
-    sample = drawn.mapInArrow(encode_pieces, "draw long, piece long, ids binary").collect()
+    sample = drawn.mapInArrow(releasing(encode_pieces), "draw long, piece long, ids binary").collect()
     sample.sort(key=lambda r: (r.draw, r.piece))
     samples = [bytes(r.ids) for r in sample if r.ids]
     if not samples:
@@ -328,12 +327,12 @@ def write_documents(
     # stored, as finding the range bounds would otherwise encode every text a second time
     packed = stored(
         docs.select(F.col(key).cast("long").alias("doc_id"), raw_text(text).alias("text")).mapInArrow(
-            encode, "has_id byte, id long, tie long, ids long, frame binary"
+            releasing(encode), "has_id byte, id long, tie long, ids long, frame binary"
         ),
         "token-frames",
     )
     ordered = packed.repartitionByRange(parts, "has_id", "id", "tie").sortWithinPartitions("has_id", "id", "tie")
-    manifest = ordered.mapInArrow(write, "part int, number int, file string, documents long, ids long")
+    manifest = ordered.mapInArrow(releasing(write), "part int, number int, file string, documents long, ids long")
     manifest.write.parquet(f"{folder}/manifest")
     return folder, dictionary
 
@@ -417,7 +416,7 @@ def read_documents(spark: SparkSession, folder: str, dictionary: bytes | None =
     if manifest.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
     files = spark.read.format("binaryFile").load(f"{folder}/files").select("path", "content")
-    found = files.mapInArrow(decode, "file string, doc_id long, local long, n_tokens long, ids_crc32 long")
+    found = files.mapInArrow(releasing(decode), "file string, doc_id long, local long, n_tokens long, ids_crc32 long")
     return found.join(starts, "file").select(
         "doc_id", (F.col("file_start") + F.col("local")).alias("start"), "n_tokens", "ids_crc32"
     )

@@ -4,10 +4,11 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from adjudica.llm import queries
+from adjudica.llm import queries, shared
 from conftest import DATA
 
 TABLES = ("documents", "benchmark", "embeddings")
@@ -53,3 +54,40 @@ def test_pipeline_stages(spark, tmp_path):
     assert sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in seen["tokens"]) == sorted(want)
     starts = sorted((r.start, r.n_tokens) for r in seen["tokens"])
     assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:])) and starts[0][0] == 0
+
+
+@pytest.mark.parametrize("stage", ["language_id", "near_duplicates", "benchmark", "tokens"])
+def test_long_texts_reach_the_workers_of_a_stage_in_small_batches(spark, stage):
+    limit = shared._BATCH_LIMIT
+    rows = [(i, f"{i} " + "some words " * 2000, "en", "web", 0) for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], names=["n"])
+
+    try:
+        spark.conf.unset(limit)
+        before = [r.n for r in docs.select("text").mapInArrow(sizes, "n long").collect()]
+        dict(corpus_pipeline.STAGES)[stage](spark, docs.limit(3), DATA)
+        after = [r.n for r in docs.select("text").mapInArrow(sizes, "n long").collect()]
+        spark.conf.set(limit, "2m")  # a session's own limit holds
+        corpus_pipeline.small_batches(spark)
+        assert spark.conf.get(limit) == "2m"
+    finally:
+        spark.conf.unset(limit)
+    assert max(before) > 15_000_000 and max(after) < 4_500_000
+
+
+def test_a_task_gives_back_what_arrow_does_not_use(monkeypatch):
+    class Pool:
+        released = 0
+
+        def release_unused(self):
+            Pool.released += 1
+
+    monkeypatch.setattr(pa, "default_memory_pool", Pool)
+    work = shared.releasing(lambda batches: (b for b in batches))
+    batches = work(iter([1, 2]))
+    assert next(batches) == 1 and Pool.released == 0
+    assert list(batches) == [2] and Pool.released == 1
