@@ -82,7 +82,7 @@ class Encoder:
     CALL_UNITS in a call, and short ones are remembered: about ``remembered`` since the last turn, and those of the turn before.
     """
 
-    def __init__(self, path: str, remembered: int = 150_000):
+    def __init__(self, path: str, remembered: int = 60_000):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.remembered = remembered
