@@ -9,6 +9,7 @@ Files go through Arrow's file systems (local or mounted paths, hdfs, s3, gcs); t
 
 from __future__ import annotations
 
+import contextlib
 import json
 import uuid
 from collections.abc import Iterator
@@ -21,13 +22,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-_COMMITS, _ROWS = "_commits", "rows"
+_COMMITS, _ROWS, _FAILED = "_commits", "rows", "_failed"
 
 
 def _system(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder) if ":/" in folder else (fs.LocalFileSystem(), folder)
 
 
+def _remove(system: fs.FileSystem, path: str) -> None:
+    with contextlib.suppress(FileNotFoundError):  # the task and the driver may both remove it
+        system.delete_file(path)
+
+
 def _commits(folder: str) -> list[dict]:
     """Commit records in the order of their times."""
     system, path = _system(folder)
@@ -48,12 +54,12 @@ class _Written(WriterCommitMessage):
 
 class _Writer(DataSourceArrowWriter):
     def __init__(self, folder: str, schema: StructType):
-        self.folder, self.schema = folder, schema.json()
+        self.folder, self.schema, self.id = folder, schema.json(), uuid.uuid4().hex
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         system, path = _system(self.folder)
         system.create_dir(f"{path}/{_ROWS}", recursive=True)
-        name, rows, sink = f"{uuid.uuid4().hex}.parquet", 0, None
+        name, rows, sink = f"{self.id}-{uuid.uuid4().hex}.parquet", 0, None
         try:
             for batch in iterator:
                 if sink is None:
@@ -63,10 +69,13 @@ class _Writer(DataSourceArrowWriter):
         except BaseException:
             if sink is not None:
                 sink.close()
-                system.delete_file(f"{path}/{_ROWS}/{name}")
+                _remove(system, f"{path}/{_ROWS}/{name}")
             raise
         if sink is not None:
             sink.close()
+            # a task that outlives its write removes its file itself
+            if system.get_file_info(f"{path}/{_FAILED}/{self.id}").type != fs.FileType.NotFound:
+                _remove(system, f"{path}/{_ROWS}/{name}")
         return _Written(name if rows else "", rows)
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
@@ -79,10 +88,14 @@ class _Writer(DataSourceArrowWriter):
             out.write(json.dumps(record).encode())
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        """Remove the files of this write; tasks that still run when another one fails have no message, and find the mark."""
         system, path = _system(self.folder)
-        for m in messages:
-            if m is not None and m.rows:
-                system.delete_file(f"{path}/{_ROWS}/{m.file}")
+        system.create_dir(f"{path}/{_FAILED}", recursive=True)
+        with system.open_output_stream(f"{path}/{_FAILED}/{self.id}"):
+            pass
+        for info in system.get_file_info(fs.FileSelector(f"{path}/{_ROWS}", allow_not_found=True)):
+            if info.base_name.startswith(f"{self.id}-"):
+                _remove(system, info.path)
 
 
 @dataclass

@@ -4,10 +4,12 @@ import os
 import subprocess
 import sys
 
+import pyarrow as pa
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from adjudica.sources import runlog
 
@@ -46,3 +48,22 @@ def test_workers_find_the_package_from_another_folder(tmp_path):
     )
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert "weights 2" in out.stdout, out.stderr[-2000:]
+
+
+def test_a_task_that_outlives_a_failed_write_removes_its_file(tmp_path):
+    """Its file stayed: the driver had removed what it knew of before the task ended."""
+    folder = str(tmp_path / "log")
+    batch = pa.record_batch([pa.array(["run-1"])], names=["run_id"])
+    writer = runlog._Writer(folder, StructType([StructField("run_id", StringType())]))
+
+    def batches():
+        yield batch
+        writer.abort([None])
+        yield batch
+
+    early = writer.write(iter([batch]))
+    writer.write(batches())
+    assert early.rows == 1 and os.listdir(f"{folder}/rows") == [] and runlog._commits(folder) == []
+    kept = runlog._Writer(folder, StructType([StructField("run_id", StringType())]))
+    kept.commit([kept.write(iter([batch]))])
+    assert os.listdir(f"{folder}/rows") == runlog._commits(folder)[0]["files"]
